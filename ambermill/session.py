@@ -78,7 +78,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def local_session(app: str = "ambermill", cpus: int | str = "*", **overrides: str) -> SparkSession:
     """Session for tests and benches."""
-    conf = BASE_CONF | {"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    conf = BASE_CONF | {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8"}
     conf |= {"spark.driver.memory": os.environ.get("AMBERMILL_DRIVER_MEMORY", "8g")} | overrides
     spark = SparkSession.builder.master(f"local[{cpus}]").appName(app).config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
