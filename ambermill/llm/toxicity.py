@@ -81,17 +81,19 @@ def fit_nb_linear(texts: Sequence[str], labels: Sequence[int], bits: int = BITS,
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
         return NbLinear(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
-    made = [gram_features(texts[i : i + 256], bits) for i in range(0, len(texts), 256)]
-    flat = np.concatenate([f for _, f in made])
-    own = np.concatenate([o + 256 * i for i, (o, _) in enumerate(made)])
-    pos = np.bincount(flat, weights=y[own], minlength=size)
-    all_ = np.bincount(flat, minlength=size)
+    pos, all_ = np.zeros(size), np.zeros(size)
+    for i in range(0, len(texts), 64):
+        own, feature = gram_features(texts[i : i + 64], bits)
+        pos += np.bincount(feature, weights=y[own + i], minlength=size)
+        all_ += np.bincount(feature, minlength=size)
     p, q = pos + smooth, all_ - pos + smooth
     ratio = np.log(p / (y.sum() + 2 * smooth)) - np.log(q / ((1 - y).sum() + 2 * smooth))
     # a count is worth less the likelier it is by chance: shrink by the standard error of its log ratio
     ratio = np.where(all_ >= least, np.sign(ratio) * np.maximum(0, np.abs(ratio) - shrink * np.sqrt(1 / p + 1 / q)), 0)
-    keep = ratio[flat] != 0
-    flat, own = flat[keep], own[keep]
+    # features are made again rather than held: only those with a ratio are kept
+    made = [gram_features(texts[i : i + 64], bits, wanted=ratio != 0) for i in range(0, len(texts), 64)]
+    flat = np.concatenate([f.astype(np.int32) for _, f in made])
+    own = np.concatenate([(o + 64 * i).astype(np.int32) for i, (o, _) in enumerate(made)])
     used, at = np.unique(flat, return_inverse=True)
     r = ratio[used]
     coef, bias = np.full(len(used), 0.1), float(np.log(y.mean() / (1 - y.mean())))
