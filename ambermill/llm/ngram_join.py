@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ambermill.llm.common import chunks, column, linked, stash
+from ambermill.llm.common import chunks, column, components, linked, stash
 from ambermill.llm.hashing import WORDS, shingle_hashes, splitmix, text_batches, word_hashes
 
 FULL = float(1 << 64)
 SHARE, MARGIN = 0.045, 12.0
 BLOCK = 768  # documents a part
+TOGETHER = 1 << 19  # tokens a part of pairs to verify
 MOST_BROADCAST = 1_000_000  # ids of 8 bytes
 ORDERS = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0xD6E8FEB86659FD93))
 
@@ -115,22 +116,40 @@ def sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def enough_shared(pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, ta, tb) with 100 * intersection >= percent * union."""
+def shares_enough(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            ta, tb = column(batch, "ta"), column(batch, "tb")
-            for i in range(batch.num_rows):
-                x, y = ta[i].values.to_numpy(), tb[i].values.to_numpy()
-                both = np.sort(np.concatenate([x, y]))
-                shared = int((both[1:] == both[:-1]).sum())
-                if 100 * shared >= percent * (len(x) + len(y) - shared):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([column(batch, c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], names=["a", "b"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+def enough_shared(near: DataFrame, sets: DataFrame, percent: int, most: int = TOGETHER) -> DataFrame:
+    """The pairs (a, b) of near (a, b, n_a, n_b) with 100 * intersection >= percent * union.
+
+    Whole sets travel once for each group of pairs rather than once for each pair. Ids that pairs connect are a cluster; small clusters
+    share a group of about `most` tokens, and a cluster beyond that is dealt into parts of so many, each pair of parts that holds a
+    pair being a group. So a group holds about 2 * most tokens, and a set travels to no more groups than it has pairs.
+    """
+    near = stash(near, "near")
+    known = components(near)
+    named = known.select("node", "root").unionByName(known.select(F.col("root").alias("node"), "root").distinct())
+    nodes = near.select(F.col("a").alias("node"), F.col("n_a").alias("n")).unionByName(near.select(F.col("b").alias("node"), F.col("n_b").alias("n"))).distinct()
+    weights = stash(named.join(nodes, "node"), "weights")
+    clusters = weights.groupBy("root").agg(F.ceil(F.sum("n") / most).cast("int").alias("parts"))
+    total = weights.agg(F.sum("n")).first()[0] or 0
+    shared_group = F.pmod(F.xxhash64("root"), F.lit(max(1, -(-total // most))))
+    dealt = weights.join(clusters, "root").select("node", F.when(F.col("parts") > 1, F.col("root")).otherwise(shared_group).alias("g"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+    dealt = stash(dealt, "dealt")
+    placed = near.select("a", "b").join(dealt.select(F.col("node").alias("a"), "g", F.col("part").alias("pa")), "a").join(dealt.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b")
+    placed = stash(placed.select("g", F.least("pa", "pb").alias("lo"), F.greatest("pa", "pb").alias("hi"), "a", "b"), "placed")
+    members = placed.select(F.col("g").alias("g2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.explode(F.array("a", "b")).alias("id"))
+    members = members.distinct().join(sets.select(F.col("h").alias("id"), "tokens"), "id")
+
+    def run(pairs: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        of = dict(zip(own["id"].tolist(), own["tokens"], strict=True))
+        keep = [shares_enough(of[a], of[b], percent) for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist(), strict=True)]
+        return pairs.loc[keep, ["a", "b"]]
+
+    return placed.groupBy("g", "lo", "hi").cogroup(members.groupBy("g2", "lo2", "hi2")).applyInPandas(run, "a long, b long")
 
 
 def block_links(ids: list[int], sets: list[np.ndarray], percent: int) -> tuple[list[int], list[int]]:
@@ -227,9 +246,8 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, text:
     def verify(pairs: DataFrame) -> DataFrame:
         side = lambda x, *cols: sets.select(F.col("h").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols])
         near = pairs.join(side("a", "n", "o3", "o4"), "a").join(side("b", "n", "o3", "o4"), "b")
-        near = near.where(sizes_fit(F.col("n_a"), F.col("n_b"), percent) & F.arrays_overlap("o3_a", "o3_b") & F.arrays_overlap("o4_a", "o4_b")).select("a", "b")
-        whole = near.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b")
-        return enough_shared(whole.select("a", "b", F.col("tokens_a").alias("ta"), F.col("tokens_b").alias("tb")), percent)
+        near = near.where(sizes_fit(F.col("n_a"), F.col("n_b"), percent) & F.arrays_overlap("o3_a", "o3_b") & F.arrays_overlap("o4_a", "o4_b"))
+        return enough_shared(near.select("a", "b", "n_a", "n_b"), sets, percent)
 
     roots = linked(lists, verify, lambda x, y: sizes_fit(x, y, percent), lambda c: linked_in_blocks(c, sets, percent)).withColumnRenamed("node", "h")
     named = shown.select("doc_id", "n", "h").join(roots, "h", "left").withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "h")))
