@@ -61,10 +61,9 @@ def band_lists(signed: DataFrame, bands: int, rows: int) -> DataFrame:
     return seen.where("head <> tail").drop("tail")
 
 
-def shingles(line: Column, width: int) -> Column:
-    """Distinct shingles of a normalised line, as 64-bit hashes."""
-    u = units(line)
-    return F.array_distinct(F.transform(places(u, width), lambda i: F.xxhash64(F.substring(u, 2 * i + 1, F.lit(2 * width)))))
+def shingles(line_units: Column, width: int) -> Column:
+    """Distinct shingles of a normalised line, as 64-bit hashes. line_units is a column, not an expression: a lambda would work it out anew for every shingle."""
+    return F.array_distinct(F.transform(places(line_units, width), lambda i: F.xxhash64(F.substring(line_units, 2 * i + 1, F.lit(2 * width)))))
 
 
 def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -72,7 +71,8 @@ def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     joined = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("la")), "a").join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("lb")), "b")
     short, long = F.least(F.length("la"), F.length("lb")), F.greatest(F.length("la"), F.length("lb"))
     joined = joined.where(short * 250 >= long * percent)  # repeats inside a line shorten its set, so this only drops far sizes of short lines
-    sets = joined.select("a", "b", shingles(F.col("la"), width).alias("sa"), shingles(F.col("lb"), width).alias("sb"))
+    cut = joined.select("a", "b", units(F.col("la")).alias("ua"), units(F.col("lb")).alias("ub"))
+    sets = cut.select("a", "b", shingles(F.col("ua"), width).alias("sa"), shingles(F.col("ub"), width).alias("sb"))
     both = sets.select("a", "b", (F.size("sa") + F.size("sb")).alias("total"), F.size(F.array_intersect("sa", "sb")).alias("shared"))
     return both.where(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("a", "b")
 
