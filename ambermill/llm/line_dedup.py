@@ -73,7 +73,8 @@ def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     joined = joined.where(short * 250 >= long * percent)  # repeats inside a line shorten its set, so this only drops far sizes of short lines
     cut = joined.select("a", "b", units(F.col("la")).alias("ua"), units(F.col("lb")).alias("ub"))
     sets = cut.select("a", "b", shingles(F.col("ua"), width).alias("sa"), shingles(F.col("ub"), width).alias("sb"))
-    both = sets.select("a", "b", (F.size("sa") + F.size("sb")).alias("total"), F.size(F.array_intersect("sa", "sb")).alias("shared"))
+    # stored before the filter, which would else be pushed below the sets and work them out, and the encoding, many times over
+    both = stash(sets.select("a", "b", (F.size("sa") + F.size("sb")).alias("total"), F.size(F.array_intersect("sa", "sb")).alias("shared")), "both")
     return both.where(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("a", "b")
 
 
