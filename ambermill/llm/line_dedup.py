@@ -20,7 +20,7 @@ MOST_BROADCAST = 1_000_000
 
 
 def normal(line: Column) -> Column:
-    return F.lower(F.trim(line))
+    return F.lower(F.trim(line, F.lit(" \t\r\x0b\x0c")))
 
 
 def units(line: Column) -> Column:
