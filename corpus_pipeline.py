@@ -54,7 +54,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", toxicity), ("quality", quality), ("line_dedup", line_dedup), ("ngram_join", ngram_join), ("packing", packing)]
 
-# Trained models and tokenizers have no SQL form; tests/llm/test_pipeline.py holds run() against a plain version.
+# Trained models and tokenizers have no SQL form.
 ORACLE_SQL = None
 
 
