@@ -4,8 +4,9 @@ A line is compared by its distinct character shingles: runs of WIDTH UTF-16 unit
 hashed once to 32 bits; XOR with a constant permutes these, so the least value of hash ^ constant is a MinHash. All of a line's
 minima come from one aggregation by the line's 64-bit hash, which also makes equal lines one; no text is shuffled for it.
 BANDS bands of ROWS minima name candidate lists: a pair of similarity s shares one with probability
-1 - (1 - s^ROWS)^BANDS, 0.985 at 0.8 and above 0.999 from 0.88 on. Candidates are verified by the exact Jaccard similarity of their
-shingle sets, and links go through distributed union-find. One line of each component stays: its first occurrence.
+1 - (1 - s^ROWS)^BANDS, 0.985 at 0.8 and above 0.999 from 0.88 on. Candidates whose bit sketches differ in more places than linked
+lines can are dropped inside the join, so that no pair is made for them; this loses no link. The others are verified by the exact Jaccard
+similarity of their shingle sets, and links go through distributed union-find. One line of each component stays: its first occurrence.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ambermill.llm.common import components, stash
 
 WIDTH, BANDS, ROWS = 8, 8, 4
+SKETCH = 32  # longs
 MOST_BROADCAST = 1_000_000
 
 
@@ -29,8 +31,8 @@ def units(line: Column) -> Column:
 
 
 def places(line_units: Column, width: int) -> Column:
-    """Where shingles start, counted in units from 0; one place for a line shorter than a shingle."""
-    return F.sequence(F.lit(0), F.greatest((F.octet_length(line_units) / 2).cast("int") - width, F.lit(0)))
+    """The bytes, from 1, at which shingles start; one place for a line shorter than a shingle."""
+    return F.sequence(F.lit(1), F.greatest(F.octet_length(line_units) - 2 * width, F.lit(0)) + 1, F.lit(2))
 
 
 def constants(count: int) -> list[int]:
@@ -49,21 +51,48 @@ def occurrences(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 def signatures(lines: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     """line_id and its minima m0, m1, ..."""
     cut = lines.select("line_id", units(F.col("line")).alias("u")).select("line_id", "u", F.explode(places(F.col("u"), width)).alias("i"))
-    hashed = cut.select("line_id", F.hash(F.substring(F.col("u"), 2 * F.col("i") + 1, F.lit(2 * width))).alias("h"))
+    hashed = cut.select("line_id", F.hash(F.substring(F.col("u"), F.col("i"), F.lit(2 * width))).alias("h"))
     return hashed.groupBy("line_id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{j}") for j, c in enumerate(constants(bands * rows))])
 
 
 def band_lists(signed: DataFrame, bands: int, rows: int) -> DataFrame:
-    """key, id, head (the least id) of the lists with more than one line."""
+    """key, id, head (a line of the list) of the lists with more than one line.
+
+    The head is the line whose lists are longest in sum, so one that agrees with many others: among copies edited apart from each
+    other it is near their source, and comparing each line with it joins most of them.
+    """
     keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)])
     lists = signed.select(F.col("line_id").alias("id"), F.explode(keys).alias("key"))
-    seen = lists.select("key", "id", F.expr("min(id) over (partition by key)").alias("head"), F.expr("max(id) over (partition by key)").alias("tail"))
-    return seen.where("head <> tail").drop("tail")
+    lists = stash(lists.withColumn("c", F.expr("count(*) over (partition by key)")).where("c > 1"), "lists")
+    seen = lists.groupBy("id").agg(F.sum("c").alias("w"))
+    return lists.join(seen, "id").select("key", "id", F.expr("max(struct(w, id)) over (partition by key)")["id"].alias("head"))
+
+
+def sketches(texts: DataFrame, width: int) -> DataFrame:
+    """id, n (shingles, repeats included) and a bit set of the line's shingles in SKETCH longs w0, w1, ..."""
+    cut = texts.select("line_id", units(F.col("line")).alias("u")).select("line_id", "u", F.explode(places(F.col("u"), width)).alias("i"))
+    hashed = cut.select("line_id", F.xxhash64(F.substring(F.col("u"), F.col("i"), F.lit(2 * width))).alias("h"))
+    marked = hashed.select("line_id", F.pmod("h", F.lit(SKETCH)).alias("k"), F.expr("shiftleft(1L, cast(shiftright(h, 32) & 63 as int))").alias("bit"))
+    words = [F.bit_or(F.when(F.col("k") == k, F.col("bit")).otherwise(F.lit(0))).alias(f"w{k}") for k in range(SKETCH)]
+    return marked.groupBy(F.col("line_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), *words)
+
+
+def side(sketch: DataFrame, x: str) -> DataFrame:
+    return sketch.select(*[F.col(c).alias(x if c == "id" else c + x) for c in sketch.columns])
+
+
+def may_link(percent: int) -> Column:
+    """Whether sides a and b may be linked. Each bit in which they differ stands for a shingle that only one has, and at a
+    similarity of s such shingles are at most (1 - s) / (1 + s) of both sets' sizes together. n is never below a set's size."""
+    apart = F.lit(0)
+    for k in range(SKETCH):
+        apart = apart + F.bit_count(F.col(f"w{k}a").bitwiseXOR(F.col(f"w{k}b")))
+    return apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
 
 
 def shingles(line_units: Column, width: int) -> Column:
     """Distinct shingles of a normalised line, as 64-bit hashes. line_units is a column, not an expression: a lambda would work it out anew for every shingle."""
-    return F.array_distinct(F.transform(places(line_units, width), lambda i: F.xxhash64(F.substring(line_units, 2 * i + 1, F.lit(2 * width)))))
+    return F.array_distinct(F.transform(places(line_units, width), lambda i: F.xxhash64(F.substring(line_units, i, F.lit(2 * width)))))
 
 
 def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -88,15 +117,17 @@ def line_components(lines: DataFrame, width: int = WIDTH, bands: int = BANDS, ro
     ids = stash(lists.select(F.col("id").alias("line_id")).distinct(), "ids")
     few = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
     texts = stash(lines.select("line_id", "line").join(few, "line_id", "left_semi").dropDuplicates(["line_id"]), "texts")
-    first = stash(lists.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "first")
+    sketch = stash(sketches(texts, width), "sketch")
+    first = lists.where("id <> head").select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b")).distinct()
+    first = stash(first.join(side(sketch, "a"), "a").join(side(sketch, "b"), "b").where(may_link(percent)).select("a", "b"), "first")
     proven = stash(similar(first, texts, width, percent), "proven")
     roots = components(proven)
     named = lists.drop("head").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     split = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
     open_ = stash(named.join(split, "key", "left_semi"), "open")
-    left = open_.select("key", F.col("id").alias("a"), F.col("root").alias("ra"))
-    right = open_.select("key", F.col("id").alias("b"), F.col("root").alias("rb"))
-    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+    left = open_.select("key", F.col("id").alias("a"), F.col("root").alias("ra")).join(side(sketch, "a"), "a")
+    right = open_.select("key", F.col("id").alias("b"), F.col("root").alias("rb")).join(side(sketch, "b"), "b")
+    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b")) & may_link(percent)).select("a", "b").distinct()
     pairs = stash(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
     if pairs.isEmpty():
         return roots
