@@ -98,8 +98,6 @@ def shingles(line_units: Column, width: int) -> Column:
 def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets have 100 * intersection >= percent * union."""
     joined = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("la")), "a").join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("lb")), "b")
-    short, long = F.least(F.length("la"), F.length("lb")), F.greatest(F.length("la"), F.length("lb"))
-    joined = joined.where(short * 250 >= long * percent)  # repeats inside a line shorten its set, so this only drops far sizes of short lines
     cut = joined.select("a", "b", units(F.col("la")).alias("ua"), units(F.col("lb")).alias("ub"))
     sets = cut.select("a", "b", shingles(F.col("ua"), width).alias("sa"), shingles(F.col("ub"), width).alias("sb"))
     # stored before the filter, which would else be pushed below the sets and work them out, and the encoding, many times over
