@@ -1,7 +1,8 @@
 """Fuzzy line deduplication in DataFrame and SQL functions alone.
 
 A line is compared by its distinct character shingles: runs of WIDTH UTF-16 units of the trimmed, lower-cased line. Each shingle is
-hashed once to 32 bits; XOR with a constant permutes these, so the least value of hash ^ constant is a MinHash. All of a line's
+hashed once to 32 bits; an odd factor modulo 2^32 and XOR with a constant permute these, so the least value of (hash * factor) ^ constant
+is a MinHash. XOR alone would not do: minima of few shingles then agree with each other far too often. All of a line's
 minima come from one aggregation by the line's 64-bit hash, which also makes equal lines one; no text is shuffled for it.
 BANDS bands of ROWS minima name candidate lists: a pair of similarity s shares one with probability
 1 - (1 - s^ROWS)^BANDS, 0.985 at 0.8 and above 0.999 from 0.88 on. Candidates whose bit sketches differ in more places than linked
@@ -18,6 +19,7 @@ from ambermill.llm.common import components, stash
 
 WIDTH, BANDS, ROWS = 8, 8, 4
 SKETCH = 32  # longs
+LOW32, LOW64 = (1 << 32) - 1, (1 << 64) - 1
 MOST_BROADCAST = 1_000_000
 
 
@@ -35,9 +37,22 @@ def places(line_units: Column, width: int) -> Column:
     return F.sequence(F.lit(1), F.greatest(F.octet_length(line_units) - 2 * width, F.lit(0)) + 1, F.lit(2))
 
 
-def constants(count: int) -> list[int]:
-    """XOR constants: multiples of the golden ratio's 32-bit fraction, as signed integers."""
-    return [((j * 0x9E3779B1 + 0x7F4A7C15) & 0xFFFFFFFF) - (1 << 31) for j in range(count)]
+def mixed(x: int) -> int:
+    """SplitMix64's output for a state."""
+    x = (x + 0x9E3779B97F4A7C15) & LOW64
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & LOW64
+    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & LOW64
+    return x ^ x >> 31
+
+
+def constants(count: int) -> list[tuple[int, int]]:
+    """Odd factors of 31 bits, so that a product with 32 bits stays within a long, and 32-bit XOR constants."""
+    return [(mixed(2 * j) >> 33 | 1, mixed(2 * j + 1) >> 32) for j in range(count)]
+
+
+def permuted(h: Column, factor: int, constant: int) -> Column:
+    """A permutation of the 32-bit numbers h, given as longs from 0."""
+    return (h * F.lit(factor).cast("long")).bitwiseXOR(F.lit(constant).cast("long")).bitwiseAND(F.lit(LOW32))
 
 
 def occurrences(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -51,8 +66,8 @@ def occurrences(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 def signatures(lines: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     """line_id and its minima m0, m1, ..."""
     cut = lines.select("line_id", units(F.col("line")).alias("u")).select("line_id", "u", F.explode(places(F.col("u"), width)).alias("i"))
-    hashed = cut.select("line_id", F.hash(F.substring(F.col("u"), F.col("i"), F.lit(2 * width))).alias("h"))
-    return hashed.groupBy("line_id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{j}") for j, c in enumerate(constants(bands * rows))])
+    hashed = cut.select("line_id", F.hash(F.substring(F.col("u"), F.col("i"), F.lit(2 * width))).cast("long").bitwiseAND(F.lit(LOW32)).alias("h"))
+    return hashed.groupBy("line_id").agg(*[F.min(permuted(F.col("h"), *c)).alias(f"m{j}") for j, c in enumerate(constants(bands * rows))])
 
 
 def band_lists(signed: DataFrame, bands: int, rows: int) -> DataFrame:

@@ -1,6 +1,8 @@
 """Links of lines that are short or repeat themselves."""
 
-from ambermill.llm.line_dedup import dedup_lines
+import random
+
+from ambermill.llm.line_dedup import band_lists, dedup_lines, signatures
 
 
 def components_of(spark, lines):
@@ -13,3 +15,21 @@ def test_equal_sets_of_unlike_lengths(spark):
     for pair in (["-" * 10, "-" * 40], ["ha" * 20, "ha" * 70], ["a, " * 8 + "a", "a, " * 40 + "a"]):
         of = components_of(spark, [*pair, "a line of other words altogether"])
         assert of[pair[0]] == of[pair[1]] and len(set(of.values())) == 2
+
+
+def test_recall_on_short_lines(spark):
+    """A line and a copy cut at its ends, so that 80 to 90 of 100 shingles are shared; the share of such pairs in a list together."""
+    rng, lines, pairs = random.Random(3), [], {}
+    for n, cut in ((5, 1), (7, 1), (10, 1), (10, 2), (20, 2), (20, 4), (33, 3), (33, 6)):  # shingles of both together, and of one alone
+        for _ in range(400):
+            line = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n + 7))
+            pairs.setdefault((n, cut), []).append((len(lines), len(lines) + 1))
+            lines += [line, line[cut:]]
+    signed = signatures(spark.createDataFrame(list(enumerate(lines)), "line_id long, line string"), 8, 8, 4)
+    lists = {}
+    for r in band_lists(signed, 8, 4).collect():
+        lists.setdefault(r.id, set()).add(r.key)
+    for (n, cut), own in pairs.items():
+        claimed = 1 - (1 - (1 - cut / n) ** 4) ** 8
+        found = sum(bool(lists.get(a, set()) & lists.get(b, set())) for a, b in own) / len(own)
+        assert found >= claimed - 0.03, (n, cut, found, claimed)
