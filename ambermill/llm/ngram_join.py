@@ -32,7 +32,7 @@ FULL = float(1 << 64)
 SHARE, MARGIN = 0.045, 12.0
 BLOCK = 768  # documents a part
 TOGETHER = 1 << 19  # tokens a part of pairs to verify
-MOST_BROADCAST = 1_000_000  # ids of 8 bytes
+MOST_BROADCAST = 1_000_000  # keys of 8 bytes
 ORDERS = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -82,8 +82,13 @@ def _longs(arrays: list[np.ndarray], kind=pa.int64()) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    """Names a row, also one without an id: rows of equal keys have the same id and text."""
+    return F.xxhash64(doc_id, text)
+
+
 def shown_tokens(docs: DataFrame, text: str, doc_id: str, width: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), h (hash of the set), shown: tokens below bound(n), of which the first `own` count for the document."""
+    """doc_id, k (row_key), n (set size), h (hash of the set), shown: tokens below bound(n), of which the first `own` count for the document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "_text", 1 << 19):
@@ -92,11 +97,11 @@ def shown_tokens(docs: DataFrame, text: str, doc_id: str, width: int, percent: i
             wide, narrow = bound(n, percent), bound(n * 100 // percent, percent)
             shown = [s[: below(s, b)].view(np.int64) for s, b in zip(sets, wide, strict=True)]
             own = [below(s, b) for s, b in zip(sets, narrow, strict=True)]
-            cols = [column(part, "doc_id"), pa.array(n), pa.array([set_hash(s) for s in sets], pa.int64()), pa.array(own, pa.int32()), _longs(shown)]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "h", "own", "shown"])
+            cols = [column(part, "doc_id"), column(part, "k"), pa.array(n), pa.array([set_hash(s) for s in sets], pa.int64()), pa.array(own, pa.int32()), _longs(shown)]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "k", "n", "h", "own", "shown"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")).mapInArrow(run, f"doc_id {kind}, n long, h long, own int, shown array<long>")
+    return docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("k"), F.col(text).alias("_text")).mapInArrow(run, f"doc_id {kind}, k long, n long, h long, own int, shown array<long>")
 
 
 def whole_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -225,10 +230,10 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, text:
     shared = stash(seen.where("common").drop("common"), "shared")
     # copies of a class are counted together: distinct tokens, not rows
     per = shared.where("inside").groupBy("h", "n").agg(F.count(F.lit(1)).alias("rows"))
-    copies = full.groupBy("h", "n").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep"), F.max("own").alias("own"))
+    copies = full.groupBy("h", "n").agg(F.count(F.lit(1)).alias("copies"), F.min("k").alias("rep"), F.max("own").alias("own"))
     p = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
     kept = copies.join(per, ["h", "n"], "left").where(F.coalesce(F.col("rows"), F.lit(0)) / F.col("copies") >= F.col("own") - p)
-    alive = stash(kept.where("rep is not null").select("h", "n", "rep"), "alive")
+    alive = stash(kept.select("h", "n", "rep"), "alive")
     # order 2: the rarest p + 1 tokens of each class
     lists = shared.join(alive.select("h", "n", F.lit(1).alias("_alive")), ["h", "n"]).groupBy("h", "n", "t").agg(F.max("df").alias("df"), F.max("inside").alias("inside"), F.max("own").alias("own"))
     of_class = Window.partitionBy("h", "n")
@@ -237,10 +242,10 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, text:
     holder = F.col("inside") & (F.col("own") - F.col("_inner") + F.col("_rank") <= F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1)
     ranked = lists.withColumn("_inner", inner).withColumn("_rank", rank)
     lists = ranked.select(F.col("t").alias("key"), F.col("h").alias("id"), holder.alias("holder"), F.col("n").alias("size"))
-    reps = alive.select(F.col("rep").alias("doc_id"))
+    reps = alive.select(F.col("rep").alias("k"))
     reps = F.broadcast(reps) if reps.count() <= MOST_BROADCAST else reps
-    sets = stash(whole_sets(own.join(reps, "doc_id", "left_semi").select("_text"), width, percent), "sets")
-    if sets.select("h").distinct().count() < sets.count():  # rows that repeat an id
+    sets = stash(whole_sets(own.withColumn("k", row_key("doc_id", "_text")).join(reps, "k", "left_semi").select("_text"), width, percent), "sets")
+    if sets.select("h").distinct().count() < sets.count():  # rows that repeat an id and text
         sets = stash(sets.dropDuplicates(["h"]), "sets")
 
     def verify(pairs: DataFrame) -> DataFrame:
