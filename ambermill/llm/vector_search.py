@@ -2,7 +2,7 @@
 
 Vectors are cut into two halves, each quantised by its own k-means; a vector's cell is its pair of centroids. A query walks the
 pairs by rising summed distance with a heap (here the distance of a half is the negative inner product with its centroid)
-until the cells it has passed hold the share of the index asked for; their entries are reranked by
+until the cells it has passed hold the share of the index asked for (and a least number of entries); their entries are reranked by
 the exact inner product. Entries lie in parts of cells; a cell larger than a part is spread over several.
 """
 
@@ -25,6 +25,7 @@ MOST_FIT = 20_000
 PART = 4_096
 QUERIES = 1_024
 SHARE = 0.5
+FLOOR = 2_000
 
 
 def usable(vector: Column, dim: Column | None = None) -> Column:
@@ -115,13 +116,14 @@ def top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def nearest(
-    rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embedding", vec_id: str = "vec_id", centroids: int = CENTROIDS, share: float = SHARE, most_fit: int = MOST_FIT
+    rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embedding", vec_id: str = "vec_id", centroids: int = CENTROIDS, share: float = SHARE, most_fit: int = MOST_FIT, floor: int = FLOOR
 ) -> DataFrame:
     """The k nearest rows of each query by inner product: query_id, rank (from 1), vec_id, score.
 
     is_query marks the queries among the rows; candidates are all rows but those with the query's own id. Rows without an id, and vectors that are
     NULL, zero, of another length than most, or hold a NULL or non-finite component take no part. The quantisers are fitted on at most
     most_fit rows (those of least id hash); every row is indexed. Ties go to the smaller vec_id. An empty table gives an empty one.
+    A query reranks the share of the index, and `floor` entries at least: an index of no more is searched exhaustively.
     Queries meet entries in blocks of at most a part and about QUERIES queries.
     """
     spark = rows.sparkSession
@@ -151,7 +153,7 @@ def nearest(
         sizes[r["cell"]] = r["n"]
     total = int(sizes.sum())
     first, count, _ = deal_cells(sizes, PART)
-    wanted = max(min(total, 2_000), int(np.ceil(share * total)))
+    wanted = max(min(total, floor), int(np.ceil(share * total)))
     queries = celled.where("q").select(F.col("vec_id").alias("query_id"), "v")
     blocks = max(1, -(-queries.count() // QUERIES))
 
