@@ -33,3 +33,11 @@ def test_recall_on_short_lines(spark):
         claimed = 1 - (1 - (1 - cut / n) ** 4) ** 8
         found = sum(bool(lists.get(a, set()) & lists.get(b, set())) for a, b in own) / len(own)
         assert found >= claimed - 0.03, (n, cut, found, claimed)
+
+
+def test_one_substitution_links_from_79_characters_on(spark):
+    """What the README states of edits that 8-unit shingles at 0.8 don't find."""
+    line = "".join(random.Random(8).choices("abcdefghijklmnopqrstuvwxyz", k=82))
+    for n, linked in ((78, False), (79, True), (82, True)):
+        of = components_of(spark, [line[:n], line[:39] + "#" + line[40:n]])
+        assert (len(set(of.values())) == 1) == linked, n
