@@ -213,7 +213,8 @@ def linked_in_blocks(clusters: DataFrame, sets: DataFrame, percent: int, block:
 
 
 def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, h (the class of equal sets) and component_id: the least doc_id reachable over links.
+    """doc_id, k (row_key), n_shingles, h (the class of equal sets), root (of the component, NULL without words) and component_id: the
+    least doc_id reachable over links. Components of repeated ids can share a component_id, and those without ids have none; root tells them apart.
 
     Words are runs of bytes other than space and tab to carriage return, A-Z lower-cased; a text of fewer than width words is one
     n-gram. Two documents link if 100 * |intersection| >= percent * |union|. Documents without words are linked with nothing (component_id is their own id), and
@@ -255,8 +256,8 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, text:
         return enough_shared(near.select("a", "b", "n_a", "n_b"), sets, percent)
 
     roots = linked(lists, verify, lambda x, y: sizes_fit(x, y, percent), lambda c: linked_in_blocks(c, sets, percent)).withColumnRenamed("node", "h")
-    named = shown.select("doc_id", "n", "h").join(roots, "h", "left").withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "h")))
+    named = shown.select("doc_id", "k", "n", "h").join(roots, "h", "left").withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "h")))
     least = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     out = named.join(least, "root", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "h", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "k", F.col("n").alias("n_shingles"), "h", "root", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 

@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ambermill.llm.common import stash
 from ambermill.llm.line_dedup import drop_duplicate_lines
-from ambermill.llm.ngram_join import similar_documents
+from ambermill.llm.ngram_join import row_key, similar_documents
 from ambermill.llm.packing import pack_documents
 from ambermill.llm.quality import THRESHOLD as GOOD
 from ambermill.llm.quality import score_quality, train_quality
@@ -41,10 +42,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group linked by five-word shingles at 0.8. Rows without an id stay."""
-    gone = similar_documents(docs, width=5, percent=80).where("doc_id <> component_id").select("doc_id").distinct()
-    gone = F.broadcast(gone) if gone.count() <= MOST_BROADCAST else gone
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group linked by five-word shingles at 0.8: that of least id, rows without an id coming last. Of rows that repeat
+    its id and text too, the least stays. Rows without words are linked with nothing and stay."""
+    found = similar_documents(docs, width=5, percent=80).where("root is not null")
+    rows = stash(found.groupBy("root", "k").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "rows")
+    firsts = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k"))["k"].alias("first"))
+    marked = rows.join(firsts, "root").where("k <> first or copies > 1").select(F.col("k").alias("_k"), (F.col("k") != F.col("first")).alias("_gone"))
+    marked = stash(marked, "marked")
+    few = F.broadcast(marked) if marked.count() <= MOST_BROADCAST else marked
+    named = docs.withColumn("_k", row_key("doc_id", "text")).join(few, "_k", "left")
+    single = named.where("_gone is null").select(*docs.columns)
+    if marked.where("not _gone").isEmpty():
+        return single
+    return single.unionByName(named.where("not _gone").groupBy("_k").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Links between documents that lack an id or repeat one."""
 
+import corpus_pipeline
 from ambermill.llm.ngram_join import similar_documents
 
 WORDS = [f"w{i}" for i in range(100)]
@@ -14,3 +15,17 @@ def test_documents_without_id_link_and_connect(spark):
     rows = [(1, text(30)), (None, text()), (2, text(60)), (None, "quite another text without an id"), (3, "and one with an id and other words")]
     got = {r.h: (r.doc_id, r.component_id) for r in similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), width=4, percent=85).collect()}
     assert sorted(got.values(), key=str) == sorted([(1, 1), (None, 1), (2, 1), (None, None), (3, 3)], key=str)
+
+
+def test_stage_keeps_one_row_of_each_group(spark):
+    other, third = " ".join(f"v{i}" for i in range(50)), " ".join(f"u{i}" for i in range(50))
+    rows = [(1, text(), "b"), (1, text(), "a"), (7, text(30), "a"), (None, text(60), "a"), (7, "a clean text of the same id", "a")]
+    rows += [(None, other, "a"), (None, other, "a"), (None, other + " end", "a"), (9, third, "a"), (None, third + " end", "a"), (None, "", "a"), (None, "", "a"), (8, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = corpus_pipeline.ngram_join(spark, docs, "")
+    got = [tuple(r) for r in out.collect()]
+    assert out.columns == docs.columns
+    left = [r for r in got if r[1] and not r[1].startswith(other)]
+    assert sorted(left, key=str) == [(1, text(), "a"), (7, "a clean text of the same id", "a"), (9, third, "a")]
+    assert sum((r[1] or "").startswith(other) for r in got) == 1
+    assert sorted((r for r in got if not r[1]), key=str) == sorted([(None, "", "a"), (None, "", "a"), (8, None, "a")], key=str)
