@@ -1,8 +1,9 @@
-"""Table contracts: types, nullability and ranges, checked in one pass."""
+"""Table contracts: a Spark schema whose fields carry their bounds as metadata, checked in one pass."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import operator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,38 +11,28 @@ from pyspark.sql import types as T
 
 from ambermill.control import DataQualityError
 
-TYPES = {
-    "boolean": T.BooleanType, "date": T.DateType, "double": T.DoubleType, "int": T.IntegerType,
-    "long": T.LongType, "string": T.StringType, "timestamp": T.TimestampType,
-}
+# What each bound of a field's metadata forbids. NaN lies above every upper bound.
+FORBIDS = {"min": operator.lt, "max": operator.gt}
+KINDS = {t.typeName(): t for t in (T.BooleanType, T.DateType, T.DoubleType, T.IntegerType, T.LongType, T.StringType, T.TimestampType)}
 
 
-@dataclass(frozen=True)
-class ColumnSpec:
-    name: str
-    type: str
-    nullable: bool = True
-    low: float | None = None
-    high: float | None = None
+class TableContract(T.StructType):
+    """A named schema with a primary key. Metadata "min" and "max" bound a field's values."""
 
-    def __post_init__(self) -> None:
-        if self.type not in TYPES:
-            raise ValueError(f"{self.name}: unknown type {self.type!r}; choose one of {sorted(TYPES)}")
+    def __init__(self, name: str, fields: Sequence[T.StructField], primary_key: Sequence[str] = ()) -> None:
+        super().__init__(list(fields))
+        self.name, self.primary_key = name, tuple(primary_key)
 
 
-@dataclass(frozen=True)
-class TableContract:
-    name: str
-    columns: tuple[ColumnSpec, ...]
-    primary_key: tuple[str, ...] = field(default=())
+def column(name: str, kind: str, low: float | None = None, high: float | None = None, nullable: bool = True) -> T.StructField:
+    """A field of a contract; kind is the name of a type in KINDS."""
+    if kind not in KINDS:
+        raise ValueError(f"{name}: unknown type {kind!r}; choose one of {sorted(KINDS)}")
+    bounds = {k: v for k, v in (("min", low), ("max", high)) if v is not None}
+    return T.StructField(name, KINDS[kind](), nullable, bounds)
 
-    def schema(self) -> T.StructType:
-        return T.StructType([T.StructField(c.name, TYPES[c.type](), c.nullable) for c in self.columns])
-
-
-def _c(name: str, kind: str, low: float | None = None, high: float | None = None, nullable: bool = True) -> ColumnSpec:
-    return ColumnSpec(name, kind, nullable, low, high)
 
+_c = column
 
 # The contracts of the trip tables.
 CONTRACTS = {
@@ -115,32 +106,26 @@ CONTRACTS = {
 def schema_violations(df: DataFrame, contract: TableContract, strict: bool = False) -> list[str]:
     """Missing columns and wrong types; with strict, extra columns too."""
     have = {f.name: f.dataType for f in df.schema.fields}
-    out = []
-    for c in contract.columns:
-        if c.name not in have:
-            out.append(f"missing column {c.name}")
-        elif not isinstance(have[c.name], TYPES[c.type]):
-            out.append(f"{c.name}: {have[c.name].simpleString()} instead of {c.type}")
-    if strict:
-        out += [f"extra column {n}" for n in have if n not in {c.name for c in contract.columns}]
-    return out
+    missing = [f"missing column {f.name}" for f in contract if f.name not in have]
+    wrong = [f"{f.name}: {have[f.name].simpleString()} instead of {f.dataType.simpleString()}" for f in contract if f.name in have and have[f.name] != f.dataType]
+    extra = [f"extra column {n}" for n in have if strict and n not in contract.names]
+    return missing + wrong + extra
+
+
+def rules(contract: TableContract) -> Iterator[tuple[str, Column]]:
+    """(rule, whether a row breaks it), for each rule."""
+    for f in contract:
+        value = F.col(f"`{f.name}`")
+        if not f.nullable:
+            yield f"{f.name}: null", value.isNull()
+        broken = [FORBIDS[k](value, F.lit(bound)) for k, bound in f.metadata.items()]
+        if broken:
+            yield f"{f.name}: out of range", F.coalesce(F.greatest(*broken, F.lit(False)), F.lit(False))
 
 
 def value_counters(contract: TableContract) -> dict[str, Column]:
-    """Counting expressions, one for each rule; NaN lies above every upper bound."""
-    out = {}
-    for c in contract.columns:
-        col = F.col(f"`{c.name}`")
-        if not c.nullable:
-            out[f"{c.name}: null"] = F.count_if(col.isNull())
-        bad = F.lit(False)
-        if c.low is not None:
-            bad = bad | (col < c.low)
-        if c.high is not None:
-            bad = bad | (col > c.high)
-        if c.low is not None or c.high is not None:
-            out[f"{c.name}: out of range"] = F.count_if(col.isNotNull() & bad)
-    return out
+    """Counting expressions, one for each rule."""
+    return {name: F.count_if(broken) for name, broken in rules(contract)}
 
 
 def check_contract(df: DataFrame, contract: TableContract, strict: bool = False) -> list[str]:
