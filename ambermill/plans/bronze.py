@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,14 @@ def bronze_frame(raw: DataFrame, start: str | None = None, end: str | None = Non
 def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, start: str | None = None, end: str | None = None, registry: RunRegistry | None = None) -> dict:
     """Ingest, gate, replace, read back. The row floor is half of the rows whose date lies in the range asked for."""
     raw = read_table(spark, raw_path)
-    df = bronze_frame(raw, start, end)
+    df = bronze_frame(raw, start, end).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _gate_and_replace(spark, raw, df, bronze_path, start, end, registry)
+    finally:
+        df.unpersist()
+
+
+def _gate_and_replace(spark: SparkSession, raw: DataFrame, df: DataFrame, bronze_path: str, start: str | None, end: str | None, registry: RunRegistry | None) -> dict:
     expected = date_range(raw.select(F.to_date(F.col(_pickup(raw))).alias("event_date")), "event_date", start, end).count()
     run_gates(
         df,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sqlite3
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -50,15 +51,15 @@ def build_and_register(
             (lambda r: registry.record_result(spec.name, r.name, r.passed, r.measured, r.threshold, run_id)) if registry else None,
         )
         TableWriter(spark).replace(df, output, [spec.event_date_col])
-        if registry:
-            registry.finish_run(run_id, "success", rows, supersede=force)
-        return {"group": spec.name, "skipped": False, "rows": rows}
     except Exception:
         if registry:
             registry.finish_run(run_id, "failed")
         raise
     finally:
         df.unpersist()
+    if registry:  # the table is replaced by now: only the entry is tried again, not the build
+        retry(lambda: registry.finish_run(run_id, "success", rows, supersede=force), is_retryable=lambda exc: isinstance(exc, sqlite3.OperationalError))
+    return {"group": spec.name, "skipped": False, "rows": rows}
 
 
 def build_silver(

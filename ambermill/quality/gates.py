@@ -6,11 +6,11 @@ primary key and the partition floor need a shuffle by their keys.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ambermill.control import DataQualityError
@@ -71,6 +71,16 @@ def check_partition_floor(df: DataFrame, prior: DataFrame | None, ratio: float,
     return CheckResult("partition_row_floor", n == 0, n, 0)
 
 
+def _absent(name: str, columns: Iterable[str]) -> CheckResult:
+    """A gate on columns that the table lacks fails."""
+    return CheckResult(name, False, f"missing column(s) {sorted(columns)}", 0)
+
+
+def results_frame(spark: SparkSession, results: Sequence[CheckResult]) -> DataFrame:
+    """Gate results as a table."""
+    return spark.createDataFrame([(r.name, r.passed, str(r.measured), str(r.threshold)) for r in results], "name string, passed boolean, measured string, threshold string")
+
+
 def _instant(x: datetime | str) -> datetime:
     return (x if isinstance(x, datetime) else datetime.fromisoformat(x)).replace(tzinfo=None)
 
@@ -113,12 +123,13 @@ def run_gates(
         results.append(CheckResult(f"contract:{contract.name}", not found, "; ".join(found) or "ok", "ok"))
     results += [_null_result(c, row.get(f"n:{c}"), top) for c, top in ceilings.items()]
     keys = list(primary_key or (contract.primary_key if contract else ()))
-    if keys and set(keys) <= have:
-        results.append(check_primary_key_unique(df, keys))
+    if keys:
+        results.append(check_primary_key_unique(df, keys) if set(keys) <= have else _absent("primary_key_unique", set(keys) - have))
     if min_rows is not None:
         results.append(check_row_count_floor(row["rows"], min_rows))
-    if partition_floor_ratio is not None and partition_col in have:
-        results.append(check_partition_floor(df, prior, partition_floor_ratio, partition_col))
+    if partition_floor_ratio is not None:
+        lacks = partition_col not in have or (prior is not None and partition_col not in prior.columns)
+        results.append(_absent("partition_row_floor", {partition_col}) if lacks else check_partition_floor(df, prior, partition_floor_ratio, partition_col))
     if freshness:
         results.append(_fresh(row.get("fresh"), freshness["lower"], freshness["upper"]))
     for r in results:

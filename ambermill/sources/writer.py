@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ambermill.sources.tables import hadoop_path
 
-MARKER = "_PROMOTED"
+MARKER = "_SUCCESS"  # written at promotion only, so it marks a table that is whole
 
 
 class TableWriter:
@@ -51,12 +51,14 @@ class TableWriter:
         had_old = fs.exists(final)
         if had_old:
             self._rename(fs, final, trash)
+        moved = False
         try:
             fs.mkdirs(final.getParent())
             self._rename(fs, src, final)
+            moved = True
             fs.create(self._child(final, MARKER), True).close()
         except Exception:
-            self._rollback(fs, final, trash, had_old)
+            self._rollback(fs, final, trash, moved, had_old)
             raise
         fs.delete(trash, True)
         self._remove_if_empty(fs, src.getParent())
@@ -79,10 +81,11 @@ class TableWriter:
         if not fs.rename(src, dst):
             raise OSError(f"could not rename {src} to {dst}")
 
-    def _rollback(self, fs, final, trash, had_old: bool) -> None:
-        if fs.exists(final):
+    def _rollback(self, fs, final, trash, moved: bool, had_old: bool) -> None:
+        """Take back what this promotion did. A table that another writer put there meanwhile stays, and the old one stays beside it."""
+        if moved:
             fs.delete(final, True)
-        if had_old and fs.exists(trash):
+        if had_old and fs.exists(trash) and not fs.exists(final):
             self._rename(fs, trash, final)
 
     def _remove_if_empty(self, fs, folder) -> None:
