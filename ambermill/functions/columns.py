@@ -59,6 +59,12 @@ def normalized_names(names: Iterable[str], renames: Mapping[str, str] = RENAMES)
     return out
 
 
+def fresh_names(taken: Iterable[str], *names: str) -> list[str]:
+    """Column names like the given ones that aren't taken (case plays no part)."""
+    used = {c.lower() for c in taken}
+    return [next(c for c in (n + "_" * i for i in range(len(used) + 1)) if c.lower() not in used) for n in names]
+
+
 def normalize_columns(df: DataFrame, renames: Mapping[str, str] = RENAMES) -> DataFrame:
     return df.toDF(*normalized_names(df.columns, renames))
 

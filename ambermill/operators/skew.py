@@ -23,23 +23,35 @@ def hot_key_counts(df: DataFrame, key: str, threshold: int, sample_fraction: flo
     return counts.where(F.col("est_count") >= threshold)
 
 
-def detect_hot_keys(df: DataFrame, key: str, threshold: int, sample_fraction: float = 1.0, seed: int = 42) -> list:
-    """The hot keys themselves; at most rows / threshold of them."""
-    return [r[0] for r in hot_key_counts(df, key, threshold, sample_fraction, seed).select(key).collect()]
+MOST_HOT_KEYS = 10_000
+
+
+def detect_hot_keys(df: DataFrame, key: str, threshold: int, sample_fraction: float = 1.0, seed: int = 42, most: int = MOST_HOT_KEYS) -> list:
+    """The hot keys themselves. They become part of a plan, so more than `most` of them are an error: the threshold is too low."""
+    found = [r[0] for r in hot_key_counts(df, key, threshold, sample_fraction, seed).select(key).limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} keys have {threshold} rows; raise the threshold")
+    return found
 
 
 def add_salt(df: DataFrame, hot_col: str, hot_keys: Sequence, buckets: int, seed: int = 42) -> DataFrame:
     """_salt: 0..buckets-1 for hot keys, 0 for the rest (NULL keys too).
 
-    The salt comes from a hash of the row, so a retried task deals its rows out as before.
+    The salt comes from a hash of the row, so a retried task deals its rows out as before. Rows equal in all columns share a salt.
     """
     if buckets < 1:
         raise ValueError(f"buckets must be 1 or more, got {buckets}")
     hot = F.col(hot_col).isin(list(hot_keys)) if hot_keys else F.lit(False)
-    dealt = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id()), F.lit(buckets)).cast("int")
+    dealt = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(buckets)).cast("int")
     return df.withColumn("_salt", F.when(hot, dealt).otherwise(F.lit(0)))
 
 
+def salted_repartition(df: DataFrame, key: str, hot_keys: Sequence, partitions: int, buckets: int = 16) -> DataFrame:
+    """All rows dealt by (key, salt): the rows of a hot key come to as many partitions as it has salts; a second repartition by key
+    would bring them together again. The columns stay."""
+    return add_salt(df, key, hot_keys, buckets).repartition(partitions, key, "_salt").drop("_salt")
+
+
 def salted_aggregate(
     df: DataFrame, group_cols: Sequence[str], hot_col: str, hot_keys: Sequence, salt_buckets: int, aggregates: Sequence[tuple[str, str]], seed: int = 42
 ) -> DataFrame:

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ambermill.functions.columns import fresh_names
+
 
 @dataclass(frozen=True)
 class TrailingFrame:
@@ -78,12 +80,11 @@ def add_sliced_trailing_windows(
     reach = max(-f.start for f in frames)
     copies = -(-reach // slice_seconds)
     own = F.floor(F.col(seconds_col) / F.lit(slice_seconds)).cast("long")
-    if {"_slice", "_own", "_ahead"} & set(df.columns):
-        raise ValueError("columns _slice, _own and _ahead are reserved")
+    own_, ahead, cut = fresh_names(df.columns, "_own", "_ahead", "_slice")
     dealt = (
-        df.withColumn("_own", own)
-        .withColumn("_ahead", F.explode(F.when(F.col("_own").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(copies)))))
-        .withColumn("_slice", F.col("_own") + F.col("_ahead"))
+        df.withColumn(own_, own)
+        .withColumn(ahead, F.explode(F.when(F.col(own_).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(copies)))))
+        .withColumn(cut, F.col(own_) + F.col(ahead))
     )
-    out = dealt.select("*", *trailing_columns([*keys, "_slice"], seconds_col, frames, aggs))
-    return out.where(F.col("_ahead") == 0).drop("_slice", "_own", "_ahead")
+    out = dealt.select("*", *trailing_columns([*keys, cut], seconds_col, frames, aggs))
+    return out.where(F.col(ahead) == 0).drop(cut, own_, ahead)

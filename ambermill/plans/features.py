@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ambermill.functions.columns import add_tip_pct, day_start, epoch_seconds
 from ambermill.operators.asof import as_of_join
-from ambermill.operators.windows import TrailingFrame, trailing_columns
+from ambermill.operators.windows import TrailingFrame, add_sliced_trailing_windows, trailing_columns
 from ambermill.plans.specs import FeatureSpec
 
 # Columns of the trip spine.
@@ -19,13 +19,24 @@ SPINE_COLUMNS = (
 )
 
 
-def event_grain_features(bronze: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """One row an event with a key and a time: keys, time, date and all window columns. Scan, Exchange by key, Sort, Window."""
+HOT_ROWS = 20_000_000  # rows of a key that one task should not sort
+SLICES_A_REACH = 2
+
+
+def event_grain_features(bronze: DataFrame, spec: FeatureSpec, hot_rows: int | None = None) -> DataFrame:
+    """One row an event with a key and a time: keys, time, date and all window columns. Scan, Exchange by key, Sort, Window.
+
+    With hot_rows, keys are counted first; where one has so many rows, keys are cut into time slices as wide as half the longest frame.
+    """
     values = {a.col for a in spec.aggs if a.fn != "count"}
     base = [*spec.entity_key, spec.event_ts_col, spec.event_date_col]
     rows = bronze.select(*base, *sorted(values - set(base))).dropna(subset=[*spec.entity_key, spec.event_ts_col])
     rows = rows.withColumn("_u", epoch_seconds(spec.event_ts_col))
     aggs = [type(a)(a.prefix, a.fn, "_u" if a.fn == "count" else a.col) for a in spec.aggs]
+    if hot_rows and not rows.groupBy(*spec.entity_key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows).isEmpty():
+        width = max(1, max(-f.start for f in spec.frames) // SLICES_A_REACH)
+        rows = add_sliced_trailing_windows(rows, spec.entity_key, "_u", spec.frames, aggs, width)
+        return rows.select(*base, *[f"{a.prefix}_{f.name}" for a in aggs for f in spec.frames])
     return rows.select(*base, *trailing_columns(spec.entity_key, "_u", spec.frames, aggs))
 
 
@@ -63,7 +74,7 @@ def day_grain_features(bronze: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def compute_pickup_zone_demand(bronze: DataFrame, spec: FeatureSpec) -> DataFrame:
-    return event_grain_features(bronze, spec)
+    return event_grain_features(bronze, spec, HOT_ROWS)
 
 
 def compute_driver_trip_history(bronze: DataFrame, spec: FeatureSpec) -> DataFrame:

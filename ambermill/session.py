@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from collections.abc import Mapping
 
@@ -66,9 +67,12 @@ def build_session(app: str, config: Mapping, profile: str | None = None, overrid
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a temporary one only where it is unset."""
+    """The shared folder of the cluster (spark.checkpoint.dir). Where it is unset, a local master gets a temporary one; on a cluster
+    other machines couldn't see that, so it is an error."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not root and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = "file://" + tempfile.mkdtemp(prefix="ambermill-checkpoint-")
     if not sc.getCheckpointDir():
