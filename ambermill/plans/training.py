@@ -36,13 +36,16 @@ def split_column(date_col: str, splits: Mapping[str, tuple[str, str]]) -> Column
     return out
 
 
-def training_frame(df: DataFrame, splits: Mapping[str, tuple[str, str]] = SPLITS, label: str = LABEL, date_col: str = "event_date", ts_col: str = "pickup_datetime") -> DataFrame:
+def training_frame(
+    df: DataFrame, splits: Mapping[str, tuple[str, str]] = SPLITS, label: str = LABEL, date_col: str = "event_date", ts_col: str = "pickup_datetime",
+    numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES,
+) -> DataFrame:
     """Features, label, date and split: rows in a split with a label and both categories."""
     hour = hour_of_day(ts_col).alias("hour_of_day")
-    cols = [hour if c == "hour_of_day" else F.col(c) for c in NUMERIC_FEATURES]
+    cols = [hour if c == "hour_of_day" else F.col(c) for c in numeric]
     lows = [lo for lo, _ in splits.values()]
-    rows = df.where(F.col(date_col) >= F.lit(min(lows)).cast("date")).dropna(subset=[label, *CATEGORICAL_FEATURES])
-    out = rows.select(*cols, *CATEGORICAL_FEATURES, label, date_col, split_column(date_col, splits).alias("split"))
+    rows = df.where(F.col(date_col) >= F.lit(min(lows)).cast("date")).dropna(subset=[label, *categorical])
+    out = rows.select(*cols, *categorical, label, date_col, split_column(date_col, splits).alias("split"))
     return out.where(F.col("split").isNotNull())
 
 
@@ -119,6 +122,15 @@ def train_gbt(frames: Mapping[str, DataFrame], numeric: Sequence[str] = NUMERIC_
     return model, {"model": got, "baseline": base}
 
 
+def predict(model: PipelineModel, df: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
+    """df with the model's prediction; all other columns stay as they are."""
+    keep = df.columns
+    as_double = {c: F.col(c).cast("double") for c in (*numeric, *categorical)}
+    held = [F.col(f"`{c}`").alias(f"_own_{c}") for c in as_double]
+    made = model.transform(df.select("*", *held).withColumns(as_double))
+    return made.select(*[F.col(f"_own_{c}").alias(c) if c in as_double else F.col(f"`{c}`") for c in keep], "prediction")
+
+
 def write_json(path: str, value) -> None:
     Path(path).parent.mkdir(parents=True, exist_ok=True)
     Path(path).write_text(json.dumps(value, indent=2, default=str) + "\n")

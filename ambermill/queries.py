@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ambermill.functions.columns import cast_columns, day_start, epoch_seconds, hour_of_day, normalize_columns, ratio_clip, run_key_column
+from ambermill.functions.columns import add_derived_columns, cast_columns, day_start, epoch_seconds, hour_of_day, normalize_columns, ratio_clip, run_key_column
 from ambermill.operators.asof import as_of_join
 from ambermill.operators.relational import dedup_keep_latest, first_per_group
 from ambermill.operators.skew import detect_hot_keys, hot_key_counts, salted_aggregate
@@ -20,9 +20,9 @@ from ambermill.operators.windows import FeatureAgg, TrailingFrame, add_sliced_tr
 from ambermill.plans.bronze import date_range as in_range
 from ambermill.plans.features import compute_joined_features, daily_partials, day_grain_features, event_grain_features
 from ambermill.plans.specs import FeatureJoin, FeatureSpec
-from ambermill.plans.training import baseline_metrics, impute_stats, split_column
-from ambermill.quality.contracts import ColumnSpec, TableContract, value_counters
-from ambermill.quality.gates import duplicate_key_groups, null_rate, partition_counts, partitions_below_floor
+from ambermill.plans.training import baseline_metrics, impute_stats, split_column, training_frame
+from ambermill.quality.contracts import TableContract, column, value_counters
+from ambermill.quality.gates import check_freshness, check_row_count_floor, duplicate_key_groups, null_rate, partition_counts, partitions_below_floor, results_frame, run_gates
 from ambermill.session import checkpoint_root
 from ambermill.sources.tables import month_range, read_table
 from ambermill.sources.writer import TableWriter
@@ -119,7 +119,7 @@ def cast_columns_q(spark, sf_dir):
 
 @query("SELECT event_id, CAST(ts AS DATE) AS event_date, epoch_us(ts) // 1000000 AS unix_s FROM events")
 def derive_event_date(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("event_date"), epoch_seconds("ts").alias("unix_s"))
+    return add_derived_columns(table(spark, sf_dir, "events"), "ts").select("event_id", "event_date", epoch_seconds("ts").alias("unix_s"))
 
 
 @query(
@@ -152,6 +152,11 @@ def zone_demand(spark, sf_dir):
     return event_grain_features(events(spark, sf_dir), ZONE)
 
 
+@query(f"WITH {EV}, {ZONE_CTE} SELECT * FROM zone")
+def zone_demand_hot(spark, sf_dir):
+    return event_grain_features(events(spark, sf_dir), ZONE, hot_rows=50)
+
+
 @query(f"WITH {EV}, {ZONE_CTE} SELECT user_id, ts, cnt_1h, cnt_24h, mean_24h FROM zone")
 def zone_demand_sliced(spark, sf_dir):
     e = events(spark, sf_dir).withColumn("u", epoch_seconds("ts"))
@@ -194,6 +199,11 @@ def asof_tolerance(spark, sf_dir):
     return as_of_join(*_asof_sides(spark, sf_dir), "ts", ["user_id"], 86400)
 
 
+@query(_asof_sql(86400))
+def asof_sliced(spark, sf_dir):
+    return as_of_join(*_asof_sides(spark, sf_dir), "ts", ["user_id"], 86400, slice_seconds=3 * 3600)
+
+
 @query(_asof_sql(86400))
 def asof_small_side(spark, sf_dir):
     return as_of_join(*_asof_sides(spark, sf_dir), "ts", ["user_id"], 86400, small_features=True)
@@ -261,15 +271,27 @@ def null_rates(spark, sf_dir):
     "count(*) FILTER (WHERE nullif(l_tax, 0) > 0.05) AS tax_bad FROM lineitem"
 )
 def contract_counts(spark, sf_dir):
-    c = TableContract("li", (ColumnSpec("l_quantity", "double", True, 5, 45), ColumnSpec("l_tax", "double", False, None, 0.05)))
+    c = TableContract("li", (column("l_quantity", "double", 5, 45), column("l_tax", "double", None, 0.05, nullable=False)))
     li = table(spark, sf_dir, "lineitem").select("l_quantity", F.nullif(F.col("l_tax"), F.lit(0.0)).alias("l_tax"))
     return li.agg(*[x.alias(n) for x, n in zip(value_counters(c).values(), ("quantity_bad", "tax_null", "tax_bad"), strict=True)])
 
 
-@query("SELECT count(*) AS n, count(*) >= 100 AS passed FROM events")
+@query("SELECT 'row_count_floor' AS name, count(*) >= 100 AS passed, CAST(count(*) AS VARCHAR) AS measured, '100' AS threshold FROM events")
 def row_count_floor(spark, sf_dir):
-    n = F.count(F.lit(1))
-    return table(spark, sf_dir, "events").agg(n.alias("n"), (n >= 100).alias("passed"))
+    return results_frame(spark, [check_row_count_floor(table(spark, sf_dir, "events").count(), 100)])
+
+
+@query(
+    "WITH x AS (SELECT count(*) AS n, count(*) - count(DISTINCT event_id) AS twice, max(ts) AS newest, avg(CASE WHEN nullif(user_id % 10, 0) IS NULL THEN 1.0 ELSE 0.0 END) AS r FROM events) "
+    "SELECT 'contract:events' AS name, true AS passed FROM x UNION ALL SELECT 'null_rate:tenth', r <= 0.9 FROM x UNION ALL SELECT 'primary_key_unique', twice = 0 FROM x "
+    "UNION ALL SELECT 'row_count_floor', n >= 100 FROM x UNION ALL SELECT 'partition_row_floor', true FROM x "
+    "UNION ALL SELECT 'freshness', newest BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-02-10' FROM x"
+)
+def gates_report(spark, sf_dir):
+    e = events(spark, sf_dir).withColumn("tenth", F.nullif(F.col("user_id") % 10, F.lit(0).cast("long")))
+    contract = TableContract("events", (column("event_id", "long", 0, None, nullable=False), column("event_date", "date")))
+    found, _ = run_gates(e, contract, {"tenth": 0.9}, ["event_id"], 100, e, 0.9, "event_date", {"ts_col": "ts", "lower": "2024-01-01", "upper": "2024-02-10"})
+    return results_frame(spark, found).select("name", "passed")
 
 
 @query("SELECT CAST(ts AS DATE) AS event_date, count(*) AS n FROM events GROUP BY 1")
@@ -291,9 +313,8 @@ def partition_floor(spark, sf_dir):
 
 @query("SELECT max(ts) AS newest, max(ts) BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-02-10' AS passed FROM events")
 def freshness(spark, sf_dir):
-    newest = F.max("ts")
-    ok = newest.between(F.lit("2024-01-01").cast("timestamp_ntz"), F.lit("2024-02-10").cast("timestamp_ntz"))
-    return table(spark, sf_dir, "events").agg(newest.alias("newest"), ok.alias("passed"))
+    found = check_freshness(table(spark, sf_dir, "events"), "ts", "2024-01-01", "2024-02-10")
+    return results_frame(spark, [found]).select(F.col("measured").cast("timestamp_ntz").alias("newest"), "passed")
 
 
 @query("SELECT DISTINCT CAST(ts AS DATE) AS event_date FROM events")
@@ -325,8 +346,9 @@ SPLIT_WHERE = "event_date >= DATE '2024-01-01' AND event_date < DATE '2024-01-31
 
 @query(f"WITH {EV} SELECT event_id, {SPLIT_SQL} AS split FROM ev WHERE {SPLIT_WHERE} AND cents % 7 <> 0")
 def training_split(spark, sf_dir):
-    e = events(spark, sf_dir).withColumn("label", F.nullif(F.col("cents") % 7, F.lit(0).cast("long"))).dropna(subset=["label"])
-    return e.select("event_id", split_column("event_date", SPLITS).alias("split")).where(F.col("split").isNotNull())
+    e = events(spark, sf_dir).withColumn("label", F.nullif(F.col("cents") % 7, F.lit(0).cast("long")))
+    frame = training_frame(e, SPLITS, "label", "event_date", "ts", numeric=("event_id", "hour_of_day"), categorical=("user_id",))
+    return frame.select("event_id", "split")
 
 
 @query(f"WITH {EV} SELECT event_id, CAST(hour(ts) AS DOUBLE) AS hour_of_day, CAST(event_date AS TIMESTAMP) AS day_start FROM ev")
