@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,13 +15,47 @@ from pyspark.sql import functions as F
 from ambermill.session import checkpoint_root
 
 CHUNK_BYTES = 2 << 20
+_HELD: ContextVar[list[str] | None] = ContextVar("stored by a scratch block", default=None)
+BROADCAST_BYTES = 24 << 20
 
 
 def stash(df: DataFrame, name: str = "t") -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors, and gives the planner real sizes."""
     path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/ambermill/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "snappy").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stashed_at = path
+    if (held := _HELD.get()) is not None:
+        held.append(path)
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end whatever was stored inside and is still there. Results must be written by then."""
+    mark = _HELD.set([])
+    try:
+        yield
+    finally:
+        for path in _HELD.get():
+            delete_folder(spark, path.rpartition("/")[0])
+        _HELD.reset(mark)
+
+
+def unstash(*stored: DataFrame) -> None:
+    """Delete what stash() wrote, once nothing that is still to run reads it."""
+    for df in stored:
+        delete_folder(df.sparkSession, df._stashed_at.rpartition("/")[0])
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table, marked for broadcast only if its counted rows come to no more than BROADCAST_BYTES; else joins shuffle, and hot keys are split."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -56,53 +92,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     e = stash(e, "edges")
     for _ in range(rounds):
         if _stars(e):
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))  # still stored
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        e = stash(small.distinct(), "edges")
+        # minima are stored: a join with them is then small enough to broadcast, or has a hub's edges split among tasks
+        low = stash(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
+        large = stash(both.join(small(low, 16), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        least = stash(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        joined = large.join(small(least, 16), "u")
+        hung = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        last, e = e, stash(hung.distinct(), "edges")
+        unstash(last, low, large, least)
     raise RuntimeError(f"components did not settle in {rounds} rounds")
-
-
-def linked(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], fits=None, in_blocks: Callable[[DataFrame], DataFrame] | None = None, long: int = 64) -> DataFrame:
-    """Components of ids that share a list and pass verification: (node, root), as components() gives them.
-
-    lists: key, id, holder (boolean), size; a pair counts if it shares a key that one of the two holds, and fits(size, size)
-    allows it. verify: (a, b) pairs -> those that are linked. Two passes cover all such pairs without making them all: first each holder
-    against the head of its list; then, since pairs inside a component need no proof, only holders against
-    members of other components. Lists whose ids are all in one component drop out before the second join.
-
-    in_blocks, if given, takes over the lists of more than `long` ids: it gets (cluster, id), a cluster being all ids that
-    such lists connect, and returns links that connect whatever is linked in each cluster. No pair of theirs is made as a row.
-    """
-    heads = lists.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("tail"), F.max("holder").alias("held"), F.count(F.lit(1)).alias("c"))
-    heads = heads.where(F.col("held") & (F.col("head") != F.col("tail"))).select("key", "head", "c")
-    live = stash(lists.join(heads, "key"), "lists")
-    proven = None
-    if in_blocks is not None:
-        far = live.where(F.col("c") > long)
-        known = components(far.select(F.col("id").alias("a"), F.col("head").alias("b")))
-        named = known.select("root", "node").unionByName(known.select("root", F.col("root").alias("node")).distinct())
-        proven = stash(in_blocks(named.select(F.col("root").alias("cluster"), F.col("node").alias("id"))), "blocks")
-        live = live.where(F.col("c") <= long)
-    first = live.where("holder and id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    first = stash(first, "first")
-    links = stash(verify(first), "proven")
-    proven = links if proven is None else proven.unionByName(links)
-    roots = components(proven)
-    named = live.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")).drop("head")
-    split = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    open_ = stash(named.join(split, "key", "left_semi"), "open")
-    left = open_.where("holder").select("key", F.col("id").alias("a"), F.col("root").alias("ra"), F.col("size").alias("sa"))
-    right = open_.select("key", F.col("id").alias("b"), F.col("root").alias("rb"), F.col("size").alias("sb"))
-    apart = F.col("ra") != F.col("rb")
-    if fits is not None:
-        apart = apart & fits(F.col("sa"), F.col("sb"))
-    pairs = left.join(right, (left["key"] == right["key"]) & apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = stash(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
-    if pairs.isEmpty():
-        return roots
-    return components(proven.unionByName(verify(pairs)))

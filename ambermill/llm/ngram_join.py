@@ -1,38 +1,41 @@
 """Exact set-similarity join on word n-grams, filtered under several global token orders.
 
-A document's tokens are the 64-bit hashes of its distinct n-grams. If two sets have a Jaccard similarity of t or more,
-each lacks at most p = n - ceil(t n) tokens of the other. So, under ANY order of all tokens, the first p + 1 tokens of one
-hold a token of the other. Orders used, each prefix being a condition that every linked pair meets:
-
-  1. by hash: of the tokens below a hash bound that falls with n (so that both documents of a pair agree on it), all but p must be
-     shared with some other document. A document with fewer has no partner and leaves; this is a count, no pairs are made,
-     so a passage that thousands of documents share costs one row for each of them and nothing more;
-  2. by rarity: the p + 1 rarest of these tokens name the lists in which a document looks for partners, so tokens of common
-     passages come up only in documents that consist of them;
-  3. and 4. by two further hashes: pairs found must share a token of their prefixes under both orders.
-
-Pairs that pass all filters are verified on their whole token sets. Documents with equal sets are one
-class from the start. Lists of more than 64 classes (large groups of near copies) are compared in blocks. See common.linked for how links are found without making all pairs of a group.
+A document's tokens are the 64-bit hashes of its distinct n-grams. Let A be the smaller set of a linked pair (or equal in size), with n tokens: A
+lacks at most p = n - ceil(2 t n / (1 + t)) tokens of the other, at a Jaccard similarity of t. So of ANY part of A's tokens all but p are in the other,
+and under any order the first p + 1 of that part hold a token of the other. Orders used, each prefix being a condition that every linked pair meets:
+
+  1. by hash: A's own part are its tokens below a hash bound that falls with n; a document shows its tokens below the bound of the
+     smallest set that it can be linked with, so what A's part shares with the other is shown by it. A document of whose own part more than p
+     tokens occur nowhere else can't be the smaller of a pair: this is a count, no pairs are made, so a passage that thousands of
+     documents share costs one row for each of them and nothing more;
+  2. by rarity: the p + 1 rarest tokens of the own part name the lists in which a document looks for partners (those that occur
+     nowhere else come first, and name none), so tokens of common passages come up only in documents that consist of them;
+  3. and 4. by two further hashes: pairs found must share a token of their prefixes (of n - ceil(t n) + 1) under both orders.
+
+Pairs that pass all filters are verified on their whole token sets. Documents with equal sets are one class from the start. In ROUNDS rounds, each
+list gets HEADS heads, and each class is compared with the heads of its lists, where sizes and parity sketches allow it; so large groups
+of copies become components in steps that grow with their size. Lists that then still hold several components pair their classes
+across components, where sizes and sketches allow it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ambermill.llm.common import chunks, column, components, linked, stash
+from ambermill.llm.common import chunks, column, components, small, stash, unstash
 from ambermill.llm.hashing import WORDS, shingle_hashes, splitmix, text_batches, word_hashes
 
 FULL = float(1 << 64)
-SHARE, MARGIN = 0.045, 12.0
-BLOCK = 768  # documents a part
-TOGETHER = 1 << 19  # tokens a part of pairs to verify
-MOST_BROADCAST = 1_000_000  # keys of 8 bytes
+SLACK, MARGIN = 1.2, 12.0
+SKETCH, WIDE, LARGE = 16, 256, 800  # longs, longs, tokens
+ROUNDS, HEADS = 2, 8
 ORDERS = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -42,8 +45,8 @@ def lacking(n, percent: int):
 
 
 def bound(n: np.ndarray, percent: int) -> np.ndarray:
-    """Share of the hash space whose tokens a document of n tokens shows. Falls as n grows."""
-    return np.minimum(1.0, (100 - percent) / 100 + SHARE * (100 - percent) / 15 + MARGIN / np.maximum(n, 1))
+    """Share of the hash space that holds the own part of a set of n tokens: somewhat more than it may lack. Falls as n grows."""
+    return np.minimum(1.0, SLACK * (100 - percent) / (100 + percent) + MARGIN / np.maximum(n, 1))
 
 
 def below(tokens: np.ndarray, share: float) -> int:
@@ -69,13 +72,20 @@ def set_hash(tokens: np.ndarray) -> int:
 
 
 def order_prefix(tokens: np.ndarray, order: np.uint64, percent: int) -> np.ndarray:
-    """First p + 1 tokens under an order, shortened to 32 bits (a shared token stays shared)."""
+    """First n - ceil(t n) + 1 tokens under an order, shortened to 32 bits (a shared token stays shared)."""
     keys = splitmix(tokens ^ order)
     k = lacking(len(tokens), percent) + 1
     first = np.sort(np.argpartition(keys, k - 1)[:k]) if k < len(keys) else np.arange(len(keys))
     return (tokens[first] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def parity_sketch(tokens: np.ndarray, longs: int = SKETCH) -> np.ndarray:
+    """The parity of the tokens that fall on each of 64 * longs bits."""
+    at = (splitmix(tokens) % np.uint64(64 * longs)).astype(np.int64)
+    odd = (np.bincount(at, minlength=64 * longs) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _longs(arrays: list[np.ndarray], kind=pa.int64()) -> pa.Array:
     ends = np.cumsum([0] + [len(a) for a in arrays], dtype=np.int32)
     flat = np.concatenate(arrays) if arrays else np.empty(0, np.int64)
@@ -87,34 +97,61 @@ def row_key(doc_id: str, text: str) -> Column:
     return F.xxhash64(doc_id, text)
 
 
-def shown_tokens(docs: DataFrame, text: str, doc_id: str, width: int, percent: int) -> DataFrame:
-    """doc_id, k (row_key), n (set size), h (hash of the set), shown: tokens below bound(n), of which the first `own` count for the document."""
+def shown_tokens(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """row (a number of its own), doc_id, k (row_key), n (set size), h (hash of the set), own, shown: the tokens shown, of which the first `own` are the own part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 33
         for part, texts in chunks(batches, "_text", 1 << 19):
             sets = token_sets(texts, width)
             n = np.array([len(s) for s in sets], np.int64)
-            wide, narrow = bound(n, percent), bound(n * 100 // percent, percent)
+            wide, narrow = bound(-(-n * percent // 100), percent), bound(n, percent)
             shown = [s[: below(s, b)].view(np.int64) for s, b in zip(sets, wide, strict=True)]
             own = [below(s, b) for s, b in zip(sets, narrow, strict=True)]
-            cols = [column(part, "doc_id"), column(part, "k"), pa.array(n), pa.array([set_hash(s) for s in sets], pa.int64()), pa.array(own, pa.int32()), _longs(shown)]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "k", "n", "h", "own", "shown"])
+            cols = [pa.array(np.arange(at, at + len(n))), column(part, "doc_id"), column(part, "k"), pa.array(n), pa.array([set_hash(s) for s in sets], pa.int64()), pa.array(own, pa.int32()), _longs(shown)]
+            at += len(n)
+            yield pa.RecordBatch.from_arrays(cols, names=["row", "doc_id", "k", "n", "h", "own", "shown"])
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("k"), F.col(text).alias("_text")).mapInArrow(run, f"doc_id {kind}, k long, n long, h long, own int, shown array<long>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.withColumn("k", row_key("doc_id", "_text")).select("doc_id", "k", "_text").mapInArrow(run, f"row long, doc_id {kind}, k long, n long, h long, own int, shown array<long>")
 
 
-def whole_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """h, n, tokens, o3, o4 (prefixes under two orders) of documents given as _text."""
+def of_sets(docs: DataFrame, width: int, schema: str, columns: Callable[[list[np.ndarray]], list[pa.Array]]) -> DataFrame:
+    """h and what `columns` makes of the token sets of documents given as _text; a row each."""
+    names = ["h", *[c.split()[0] for c in schema.split(", ")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks(batches, "_text", 1 << 19):
             sets = [s for s in token_sets(texts, width) if len(s)]
-            cols = [pa.array([set_hash(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _longs([s.view(np.int64) for s in sets])]
-            cols += [_longs([order_prefix(s, o, percent) for s in sets], pa.int32()) for o in ORDERS]
-            yield pa.RecordBatch.from_arrays(cols, names=["h", "n", "tokens", "o3", "o4"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_hash(s) for s in sets], pa.int64()), *columns(sets)], names=names)
+
+    return docs.select("_text").mapInArrow(run, f"h long, {schema}")
+
+
+def once(sets: DataFrame, name: str) -> DataFrame:
+    """Stored, one row a class. Only rows that repeat an id and text give a class twice, so that is looked for before anything is shuffled."""
+    out = stash(sets, name)
+    if out.count() == out.select("h").distinct().count():
+        return out
+    single = stash(out.dropDuplicates(["h"]), name)
+    unstash(out)
+    return single
+
+
+def outlines(docs: DataFrame, width: int) -> DataFrame:
+    """h, sketch."""
+    return of_sets(docs, width, "sketch array<long>", lambda sets: [_longs([parity_sketch(s) for s in sets])])
 
-    return docs.mapInArrow(run, "h long, n long, tokens array<long>, o3 array<int>, o4 array<int>")
+
+def whole_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """h, n, wide (a larger sketch of sets beyond LARGE, whose first one is full; else empty), o3, o4 (prefixes under two orders), tokens (ascending, 8 bytes each)."""
+
+    def columns(sets: list[np.ndarray]) -> list[pa.Array]:
+        wide = [parity_sketch(s, WIDE) if len(s) > LARGE else np.empty(0, np.int64) for s in sets]
+        orders = [_longs([order_prefix(s, o, percent) for s in sets], pa.int32()) for o in ORDERS]
+        return [pa.array([len(s) for s in sets], pa.int64()), _longs(wide), *orders, pa.array([s.tobytes() for s in sets], pa.binary())]
+
+    return of_sets(docs, width, "n long, wide array<long>, o3 array<int>, o4 array<int>, tokens binary", columns)
 
 
 def sizes_fit(a: Column, b: Column, percent: int) -> Column:
@@ -127,89 +164,131 @@ def shares_enough(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
-def enough_shared(near: DataFrame, sets: DataFrame, percent: int, most: int = TOGETHER) -> DataFrame:
-    """The pairs (a, b) of near (a, b, n_a, n_b) with 100 * intersection >= percent * union.
-
-    Whole sets travel once for each group of pairs rather than once for each pair. Ids that pairs connect are a cluster; small clusters
-    share a group of about `most` tokens, and a cluster beyond that is dealt into parts of so many, each pair of parts that holds a
-    pair being a group. So a group holds about 2 * most tokens, and a set travels to no more groups than it has pairs.
-    """
-    near = stash(near, "near")
-    known = components(near)
-    named = known.select("node", "root").unionByName(known.select(F.col("root").alias("node"), "root").distinct())
-    nodes = near.select(F.col("a").alias("node"), F.col("n_a").alias("n")).unionByName(near.select(F.col("b").alias("node"), F.col("n_b").alias("n"))).distinct()
-    weights = stash(named.join(nodes, "node"), "weights")
-    clusters = weights.groupBy("root").agg(F.ceil(F.sum("n") / most).cast("int").alias("parts"))
-    total = weights.agg(F.sum("n")).first()[0] or 0
-    shared_group = F.pmod(F.xxhash64("root"), F.lit(max(1, -(-total // most))))
-    dealt = weights.join(clusters, "root").select("node", F.when(F.col("parts") > 1, F.col("root")).otherwise(shared_group).alias("g"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    dealt = stash(dealt, "dealt")
-    placed = near.select("a", "b").join(dealt.select(F.col("node").alias("a"), "g", F.col("part").alias("pa")), "a").join(dealt.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b")
-    placed = stash(placed.select("g", F.least("pa", "pb").alias("lo"), F.greatest("pa", "pb").alias("hi"), "a", "b"), "placed")
-    members = placed.select(F.col("g").alias("g2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.explode(F.array("a", "b")).alias("id"))
-    members = members.distinct().join(sets.select(F.col("h").alias("id"), "tokens"), "id")
-
-    def run(pairs: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        of = dict(zip(own["id"].tolist(), own["tokens"], strict=True))
-        keep = [shares_enough(of[a], of[b], percent) for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist(), strict=True)]
-        return pairs.loc[keep, ["a", "b"]]
-
-    return placed.groupBy("g", "lo", "hi").cogroup(members.groupBy("g2", "lo2", "hi2")).applyInPandas(run, "a long, b long")
-
-
-def block_links(ids: list[int], sets: list[np.ndarray], percent: int) -> tuple[list[int], list[int]]:
-    """Links that connect whatever is linked among the sets: all intersections are counted at once, as a product
-    of the 0/1 matrix of sets and shared tokens with itself, a few thousand tokens at a time."""
-    n = np.array([len(s) for s in sets], np.int64)
-    flat, own = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
-    order = np.argsort(flat, kind="stable")
-    flat, own = flat[order], own[order]
-    new = np.r_[True, flat[1:] != flat[:-1]]
-    number = np.cumsum(new) - 1
-    common = np.bincount(number) > 1
-    place = np.cumsum(common) - 1
-    keep = common[number]
-    number, own = place[number[keep]], own[keep]
-    shared = np.zeros((len(sets), len(sets)), np.float32)
-    for lo in range(0, int(place[-1]) + 1 if len(place) else 0, 4096):
-        a, b = np.searchsorted(number, [lo, lo + 4096])
-        m = np.zeros((len(sets), 4096), np.float32)
-        m[own[a:b], number[a:b] - lo] = 1
-        shared += m @ m.T
-    inter = shared.astype(np.int64)
-    x, y = np.nonzero(np.triu(100 * inter >= percent * (n[:, None] + n[None, :] - inter), 1))
-    parent = list(range(len(sets)))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    out: tuple[list[int], list[int]] = ([], [])
-    for i, j in zip(x.tolist(), y.tolist(), strict=True):
-        ri, rj = find(i), find(j)
-        if ri != rj:
-            parent[rj] = ri
-            out[0].append(ids[i])
-            out[1].append(ids[j])
+def may_link(percent: int) -> Column:
+    """Whether sides a and b may be linked, by sizes and sketches; only pairs that can't be are refused. Each bit in which sketches differ
+    stands for a token that only one side has, and linked sets have at most (1 - t) / (1 + t) of both sizes together of those."""
+    apart = sum((F.bit_count(F.col("sketch_a")[k].bitwiseXOR(F.col("sketch_b")[k])) for k in range(SKETCH)), F.lit(0))
+    return sizes_fit(F.col("n_a"), F.col("n_b"), percent) & (apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+
+
+def may_link_wide(percent: int) -> Column:
+    """The same by the larger sketches, where both sides have them."""
+    apart = F.aggregate(F.zip_with("wide_a", "wide_b", lambda x, y: F.coalesce(F.bit_count(x.bitwiseXOR(y)), F.lit(0))), F.lit(0), lambda a, b: a + b)
+    return apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+
+
+def named(table: DataFrame, x: str) -> DataFrame:
+    """A table of classes as one side of pairs: h is x, the other columns end in _x."""
+    return table.select(F.col("h").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in table.columns if c != "h"])
+
+
+class Verifier:
+    """Exact verification. Only the documents of classes that are in a pair are read and hashed again, one of each class."""
+
+    def __init__(self, texts: DataFrame, reps: DataFrame, width: int, percent: int) -> None:
+        self.texts, self.reps, self.width, self.percent = texts, reps, width, percent
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The stored pairs (a, b) that share tokens of their prefixes under both further orders, and have 100 * intersection >= percent * union.
+        b's set doesn't travel with the pairs, so the head of many pairs should be b."""
+        percent = self.percent
+        ids = stash(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "ids")
+        keys = stash(self.reps.join(small(ids, 8), "h", "left_semi").select("k"), "keys")
+        sets = once(whole_sets(self.texts.join(small(keys, 8), "k", "left_semi"), self.width, percent), "sets")
+        wide = sets.where(F.size("wide") > 0).select("h", "n", "wide")
+        left = pairs.join(named(wide, "a"), "a", "left").join(named(wide, "b"), "b", "left")
+        left = stash(left.where(F.col("wide_a").isNull() | F.col("wide_b").isNull() | may_link_wide(percent)).select("a", "b"), "left")
+        orders = sets.select("h", "o3", "o4")
+        near = left.join(named(orders, "a"), "a").join(named(orders, "b"), "b")
+        near = stash(near.where(F.arrays_overlap("o3_a", "o3_b") & F.arrays_overlap("o4_a", "o4_b")).select("a", "b"), "near")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                both = zip(column(b, "tokens_a"), column(b, "tokens_b"), strict=True)
+                keep = [shares_enough(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in both]
+                yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        met = stash(near.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "met")
+        tokens = sets.select("h", "tokens").join(small(met, 8), "h", "left_semi")
+        both = near.join(named(tokens, "a"), "a").join(named(tokens, "b"), "b").select("a", "b", "tokens_a", "tokens_b")
+        out = stash(both.mapInArrow(run, "a long, b long"), "proven")
+        unstash(ids, keys, sets, left, near, met)
+        return out
+
+
+def token_lists(shown: DataFrame, percent: int) -> DataFrame:
+    """key (a token), id (a class), n (its size), holder: the lists of tokens that a class holds among its rarest, with all classes that show the token."""
+    p = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent))
+    first = stash(shown.where("n > 0").groupBy("h").agg(F.min("row").alias("row")).select("row"), "first")
+    classes = shown.join(small(first, 8), "row", "left_semi")
+    tokens = classes.select("h", "n", F.posexplode("shown").alias("at", "t"), "own").select("h", "n", "t", (F.col("at") < F.col("own")).alias("inside"))
+    # order 1: tokens of more than one class
+    common = stash(tokens.groupBy("t").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "common")
+    shared = stash(tokens.join(small(common, 16), "t"), "shared")
+    sizes = classes.select("h", "n", "own")
+    inner = shared.where("inside").groupBy("h").agg(F.count(F.lit(1)).alias("inner"))
+    alive = stash(inner.join(sizes, "h").withColumn("p", p).where("inner >= own - p").select("h", (F.col("p") + 1 + F.col("inner") - F.col("own")).alias("held")), "alive")
+    # order 2: the p + 1 rarest tokens, less those that no other class has
+    rank = F.row_number().over(Window.partitionBy("h").orderBy("df", "t"))
+    held = shared.where("inside").join(small(alive, 16), "h").withColumn("rank", rank).where("rank <= held").select("h", "t")
+    held = stash(held, "held")
+    looked = stash(held.select("t").distinct(), "looked")
+    members = shared.join(small(looked, 8), "t").join(held.withColumn("holder", F.lit(True)), ["h", "t"], "left")
+    lists = stash(members.select(F.col("t").alias("key"), F.col("h").alias("id"), "n", F.coalesce("holder", F.lit(False)).alias("holder")), "lists")
+    unstash(first, common, shared, alive, held, looked)
+    return lists
+
+
+def spread_roots(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The lists that hold several components: key, id, n, holder, root, grown (whether the component has several classes); stored."""
+    out = lists.withColumn("root", F.col("id")).withColumn("grown", F.lit(False))
+    if roots is not None:
+        known = stash(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), "known")
+        out = lists.join(small(known, 16).withColumnRenamed("node", "id"), "id", "left")
+        out = out.withColumn("grown", F.col("root").isNotNull()).withColumn("root", F.coalesce("root", "id"))
+    split = stash(out.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key"), "split")
+    out = stash(out.join(small(split, 8), "key", "left_semi").select("key", "id", "n", "holder", "root", "grown"), "open")
+    unstash(split)
     return out
 
 
-def linked_in_blocks(clusters: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) that connect whatever is linked within each cluster (cluster, id). A cluster is dealt into parts of about
-    `block` documents, and each pair of parts is compared in one task, so no task holds more than two parts."""
-    parts = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-    dealt = clusters.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    spread = dealt.join(sets.select(F.col("h").alias("id"), "tokens"), "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    spread = spread.select("cluster", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "id", "tokens")
+def met_heads(lists: DataFrame, outline: DataFrame, percent: int, turn: int) -> DataFrame:
+    """(a, b): each class with the heads of its lists that are of other components and that it may be linked with; stored. A list has
+    HEADS heads, drawn by hash anew each turn, classes of grown components first; lists of much the same classes draw much the same heads, so pairs stay few."""
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("grown").desc(), F.xxhash64("id", F.lit(turn)), "id"))
+    heads = lists.withColumn("rank", rank).where(F.col("rank") <= HEADS).select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    heads = stash(heads, "heads")
+    met = lists.withColumnsRenamed({"id": "a", "n": "n_a"}).join(small(heads, 32), "key").where((F.col("root") != F.col("root_b")) & sizes_fit(F.col("n_a"), F.col("n_b"), percent))
+    met = met.select("a", "n_a", "b", "n_b").distinct()
+    out = stash(met.join(named(outline, "a"), "a").join(named(outline, "b"), "b").where(may_link(percent)).select("a", "b"), "tried")
+    unstash(heads)
+    return out
 
-    def run(df):
-        df = df.sort_values("id")
-        a, b = block_links(df["id"].tolist(), [np.asarray(t, np.int64) for t in df["tokens"]], percent)
-        return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
 
-    return spread.groupBy("cluster", "lo", "hi").applyInPandas(run, "a long, b long")
+def class_links(lists: DataFrame, outline: DataFrame, verifier: Verifier) -> DataFrame | None:
+    """(node, root) of classes that are linked, as components() gives them. A pair counts if it shares a list that its smaller class holds."""
+    percent, proven, tried, roots = verifier.percent, [], [], None
+    union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
+    for turn in range(ROUNDS):
+        open_ = spread_roots(lists, roots)
+        tried.append(met_heads(open_, outline, percent, turn))
+        proven.append(verifier.linked(tried[-1]))
+        unstash(open_)
+        if proven[-1].isEmpty():
+            break
+        roots = components(union(proven))
+    open_ = spread_roots(lists, roots)
+    own = stash(outline.join(open_.select(F.col("id").alias("h")).distinct(), "h", "left_semi"), "own")
+    sides = stash(open_.drop("grown").withColumnRenamed("id", "h").join(own, "h"), "sides")
+    left, right = named(sides.where("holder").drop("holder"), "a"), named(sides.drop("holder"), "b")
+    fits = (F.col("key_a") == F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & (F.col("n_a") <= F.col("n_b")) & may_link(percent)
+    ordered = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    met = left.join(right, fits).select(*ordered).distinct()
+    pairs = stash(met.join(union(tried).select(*ordered), ["a", "b"], "left_anti"), "pairs")
+    if not pairs.isEmpty():
+        roots = components(union([*proven, verifier.linked(pairs)]))
+    unstash(open_, own, sides, pairs, *tried, *proven)
+    return roots
 
 
 def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -221,43 +300,18 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, text:
     NULL texts are without words. Rows that repeat an id and text are copies. A NULL id is never a component's name unless all its
     documents lack one. An empty table gives an empty one; further columns play no part. Sets are compared by 64-bit hashes.
     """
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
-    shown = stash(shown_tokens(own, "_text", "doc_id", width, percent), "shown")
-    full = shown.where("n > 0")
-    tokens = full.select("h", "n", "own", F.posexplode("shown").alias("at", "t"))
-    # order 1: which tokens occur in more than one class, and in how many rows
-    by_token = F.expr("min(h) over (partition by t) <> max(h) over (partition by t)")
-    seen = tokens.select("t", "h", "n", (F.col("at") < F.col("own")).alias("inside"), "own", by_token.alias("common"), F.expr("count(*) over (partition by t)").alias("df"))
-    shared = stash(seen.where("common").drop("common"), "shared")
-    # copies of a class are counted together: distinct tokens, not rows
-    per = shared.where("inside").groupBy("h", "n").agg(F.count(F.lit(1)).alias("rows"))
-    copies = full.groupBy("h", "n").agg(F.count(F.lit(1)).alias("copies"), F.min("k").alias("rep"), F.max("own").alias("own"))
-    p = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
-    kept = copies.join(per, ["h", "n"], "left").where(F.coalesce(F.col("rows"), F.lit(0)) / F.col("copies") >= F.col("own") - p)
-    alive = stash(kept.select("h", "n", "rep"), "alive")
-    # order 2: the rarest p + 1 tokens of each class
-    lists = shared.join(alive.select("h", "n", F.lit(1).alias("_alive")), ["h", "n"]).groupBy("h", "n", "t").agg(F.max("df").alias("df"), F.max("inside").alias("inside"), F.max("own").alias("own"))
-    of_class = Window.partitionBy("h", "n")
-    inner = F.sum(F.col("inside").cast("int")).over(of_class)
-    rank = F.row_number().over(of_class.orderBy(F.col("inside").desc(), "df", "t"))
-    holder = F.col("inside") & (F.col("own") - F.col("_inner") + F.col("_rank") <= F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1)
-    ranked = lists.withColumn("_inner", inner).withColumn("_rank", rank)
-    lists = ranked.select(F.col("t").alias("key"), F.col("h").alias("id"), holder.alias("holder"), F.col("n").alias("size"))
-    reps = alive.select(F.col("rep").alias("k"))
-    reps = F.broadcast(reps) if reps.count() <= MOST_BROADCAST else reps
-    sets = stash(whole_sets(own.withColumn("k", row_key("doc_id", "_text")).join(reps, "k", "left_semi").select("_text"), width, percent), "sets")
-    if sets.select("h").distinct().count() < sets.count():  # rows that repeat an id and text
-        sets = stash(sets.dropDuplicates(["h"]), "sets")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        side = lambda x, *cols: sets.select(F.col("h").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols])
-        near = pairs.join(side("a", "n", "o3", "o4"), "a").join(side("b", "n", "o3", "o4"), "b")
-        near = near.where(sizes_fit(F.col("n_a"), F.col("n_b"), percent) & F.arrays_overlap("o3_a", "o3_b") & F.arrays_overlap("o4_a", "o4_b"))
-        return enough_shared(near.select("a", "b", "n_a", "n_b"), sets, percent)
-
-    roots = linked(lists, verify, lambda x, y: sizes_fit(x, y, percent), lambda c: linked_in_blocks(c, sets, percent)).withColumnRenamed("node", "h")
-    named = shown.select("doc_id", "k", "n", "h").join(roots, "h", "left").withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "h")))
-    least = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    out = named.join(least, "root", "left")
-    return out.select("doc_id", "k", F.col("n").alias("n_shingles"), "h", "root", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
-
+    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
+    shown = stash(shown_tokens(own, width, percent), "shown")
+    lists = token_lists(shown, percent)
+    wanted = stash(lists.select(F.col("id").alias("h")).distinct(), "wanted")
+    reps = stash(shown.select("h", "k").join(small(wanted, 8), "h", "left_semi").groupBy("h").agg(F.min("k").alias("k")), "reps")
+    texts = own.withColumn("k", row_key("doc_id", "_text"))
+    outline = once(outlines(texts.join(small(reps.select("k"), 8), "k", "left_semi"), width), "outline")
+    roots = class_links(lists, outline, Verifier(texts, reps, width, percent))
+    rows = shown.select("doc_id", "k", "n", "h")
+    rows = rows.withColumn("root", F.lit(None).cast("long")) if roots is None else rows.join(small(roots, 16).withColumnRenamed("node", "h"), "h", "left")
+    rows = stash(rows.withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "h"))), "rows")
+    unstash(shown, lists, wanted, reps, outline)
+    least = stash(rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"), "least")
+    out = rows.join(small(least, 24), "root", "left")
+    return out.select("doc_id", "k", F.col("n").alias("n_shingles"), "h", "root", F.coalesce("least", "doc_id").alias("component_id"))
