@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NODE = 16
 PARAGRAPH = r"(?s).{1,160}?(?:[\p{P}\p{S}](?=\s|$)\s*|$)|(?s).{1,160}"
@@ -53,11 +54,35 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(a, b)) / F.greatest(total, F.lit(1)))
 
 
-def differing_sections(a: Column, b: Column) -> Column:
-    """Positions of the sections of fingerprint a that b doesn't have; empty without a look below where roots are equal."""
-    mine, other = (F.split(F.substring_index(x, ":", -1), "/") for x in (a, b))
-    at = F.filter(F.sequence(F.lit(0), F.size(mine) - 1), lambda i: ~F.array_contains(other, F.get(mine, i)))
-    return F.when(F.substring_index(a, ":", 1) == F.substring_index(b, ":", 1), F.array().cast("array<int>")).otherwise(at)
+def differing_paragraphs(a: Column, b: Column) -> Column:
+    """array<struct<section, paragraph>>: the places, counted from 0, at which two fingerprints hold different paragraphs, or only one holds any.
+
+    Places are compared in order, so a paragraph put in makes the following ones of its section differ, and a line put in the following sections.
+    Nothing is looked at below equal roots, nor below equal sections. a and b are columns, not expressions.
+    """
+    mine, other = (F.filter(F.split(F.substring_index(x, ":", -1), "/"), lambda s: s != "") for x in (a, b))
+    both = F.arrays_zip(mine.alias("mine"), other.alias("other"))
+    places = F.flatten(
+        F.transform(
+            both,
+            lambda s, i: F.transform(
+                F.filter(
+                    F.transform(
+                        F.arrays_zip(_paragraphs(s.getField("mine")).alias("mine"), _paragraphs(s.getField("other")).alias("other")),
+                        lambda p, j: F.struct(i.alias("section"), j.alias("paragraph"), p.getField("mine").eqNullSafe(p.getField("other")).alias("same")),
+                    ),
+                    lambda p: ~p.getField("same") & ~s.getField("mine").eqNullSafe(s.getField("other")),
+                ),
+                lambda p: F.struct(p.getField("section").alias("section"), p.getField("paragraph").alias("paragraph")),
+            ),
+        )
+    )
+    nothing = F.array().cast("array<struct<section:int,paragraph:int>>")
+    return F.when(F.substring_index(a, ":", 1) == F.substring_index(b, ":", 1), nothing).otherwise(places)
+
+
+def _paragraphs(section: Column) -> Column:
+    return F.when(section.isNull(), F.array().cast("array<string>")).otherwise(F.filter(F.split(F.substring_index(section, "=", -1), r"\."), lambda p: p != ""))
 
 
 def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -65,7 +90,10 @@ def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
 
     Documents are dealt into buckets of about 2,000 by quantiles of doc_id (at most 20,000 of them on the driver), and looked ahead
     in there; the last of a bucket gets the first text of the next one. Texts are shuffled once. Rows with the same id are ordered by text.
+    doc_id must be an integer: buckets and order then agree.
     """
+    if not isinstance(docs.schema[doc_id].dataType, T.IntegralType):
+        raise TypeError(f"{doc_id} must be an integer, not {docs.schema[doc_id].dataType.simpleString()}")
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = own.count()
     n = max(1, min(MOST_BUCKETS, rows // ROWS_A_BUCKET))
