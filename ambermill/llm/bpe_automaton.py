@@ -57,6 +57,7 @@ class MergeAutomaton:
         for label in self.token:
             tails.setdefault(label[-2:], set()).add(len(label))
         self.lengths = {b: sorted(s, reverse=True) for b, s in tails.items()}
+        self.longest = max(map(len, self.token))
         self.n = n
         self.arcs: dict[int, bool] = {}
 
@@ -90,10 +91,10 @@ class MergeAutomaton:
         whole = token.get(word)
         if whole is not None:
             return [whole]
-        size = len(word)
+        size, longest = len(word), self.longest
         state, start = [0] * (size + 1), [0] * (size + 1)
         for i in range(1, size + 1):
-            t = token.get(word[:i])
+            t = token.get(word[:i]) if i <= longest else None
             if t is not None:
                 state[i] = t
                 continue

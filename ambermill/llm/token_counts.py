@@ -4,10 +4,14 @@ The pieces of a batch that were not counted lately lie end to end in one array o
 every adjacent pair, takes the lowest rank of each piece, and applies that merge at all its places in all pieces at
 once; a piece without a pair left is done, and its symbols are counted. Ranks grow with the tokens they make,
 so merging all places of the lowest rank is what merging them one by one comes to.
+
+A round costs a pass over the array, and a piece takes a round for each rank that it uses, so pieces beyond LONG bytes are merged by
+themselves: the places of each rank are kept in a list, the lowest rank's places are applied together, and only their neighbours are looked up again.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -23,6 +27,7 @@ from ambermill.llm.presplit import PieceCache, all_pieces
 from ambermill.llm.vocabulary import DEFAULT, Vocabulary, load
 
 NONE = np.iinfo(np.int32).max
+LONG = 512
 
 
 class RankMerger:
@@ -32,6 +37,7 @@ class RankMerger:
         keys = m[:, 0] * self.base + m[:, 1]
         order = np.argsort(keys)
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int32), m[:, 2].astype(np.int32)
+        self.merge = {(u, v): (k, w) for k, (u, v, w) in enumerate(vocab.merges)}
         self.byte_id = np.array(vocab.byte_id, dtype=np.int32)
         self.specials = vocab.specials
 
@@ -67,9 +73,41 @@ class RankMerger:
             sym, own = sym[live], own[live]
         return out
 
+    def count_long(self, word: bytes) -> int:
+        """Symbols that survive in a long word."""
+        merge, sym = self.merge, self.byte_id[np.frombuffer(word, dtype=np.uint8)].tolist()
+        n = len(sym)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        places: dict[int, list[int]] = {}
+        for i in range(n - 1):
+            if found := merge.get((sym[i], sym[i + 1])):
+                places.setdefault(found[0], []).append(i)
+        ranks = list(places)
+        heapq.heapify(ranks)
+        left = n
+        while ranks:
+            rank = heapq.heappop(ranks)
+            for i in sorted(places.pop(rank)):
+                j = after[i]
+                # a place counts only if it still holds this pair; a merged symbol is marked by -1
+                if sym[i] < 0 or j >= n or (found := merge.get((sym[i], sym[j]))) is None or found[0] != rank:
+                    continue
+                sym[i], sym[j], left = found[1], -1, left - 1
+                k = after[i] = after[j]
+                if k < n:
+                    before[k] = i
+                for a, b in ((before[i], i), (i, k)):
+                    if a >= 0 and b < n and (found := merge.get((sym[a], sym[b]))):
+                        if found[0] not in places:
+                            places[found[0]] = []
+                            heapq.heappush(ranks, found[0])
+                        places[found[0]].append(a)
+        return left
+
     def count_pieces(self, pieces: Sequence[str]) -> list[int]:
-        got = self.counts([b"" if p in self.specials else p.encode() for p in pieces]).tolist()
-        return [1 if p in self.specials else n for p, n in zip(pieces, got, strict=True)]
+        words = [b"" if p in self.specials else p.encode() for p in pieces]
+        got = self.counts([w if len(w) <= LONG else b"" for w in words]).tolist()
+        return [1 if p in self.specials else self.count_long(w) if len(w) > LONG else n for p, w, n in zip(pieces, words, got, strict=True)]
 
 
 @lru_cache(maxsize=2)
