@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ambermill.llm.common import chunks, column
+from ambermill.llm.common import chunks, column, unstash
 from ambermill.llm.hashing import SHAPES, splitmix, text_batches, word_hashes
-from ambermill.llm.sampling import labelled_sample
+from ambermill.llm.sampling import labelled_sample, sample_features
 
 BITS = 20
 MOST_ROWS = 12_000
@@ -97,10 +97,11 @@ class SparseScorer:
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = None, most_rows: int = MOST_ROWS, label: str = "quality", text: str = "text", doc_id: str = "doc_id") -> SparseScorer:
-    """Fit on at most most_rows labelled documents; the text is the only input."""
-    texts, y = labelled_sample(docs, labels, label, F.lit(True) if usable is None else usable, most_rows, text, doc_id)
-    rows = [f for i in range(0, len(texts), 256) for f in batch_features(texts[i : i + 256])]
-    return FtrlLogistic().fit(rows, y).frozen()
+    """Fit on at most most_rows labelled documents; the text is the only input. Hashing is done on the executors, the steps on the driver."""
+    sample = labelled_sample(docs, labels, label, F.lit(True) if usable is None else usable, most_rows, text, doc_id)
+    rows, y = sample_features(sample, batch_features)
+    unstash(sample)
+    return FtrlLogistic().fit(rows, y.tolist()).frozen()
 
 
 def score_quality(docs: DataFrame, model: SparseScorer, text: str = "text", score: str = "score") -> DataFrame:

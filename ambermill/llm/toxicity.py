@@ -11,52 +11,76 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ambermill.llm.common import chunks, column
-from ambermill.llm.sampling import labelled_sample
+from ambermill.llm.common import chunks, column, unstash
+from ambermill.llm.sampling import labelled_sample, sample_features
 
 BITS = 18
 GRAMS = (4, 5)
 MOST_ROWS = 8_000
 THRESHOLD = 0.3
-
-
-BLANK = np.arange(256, dtype=np.uint8)
-BLANK[[0, *range(9, 14)]] = 32
-
-
-def gram_positions(texts: Sequence[str], bits: int = BITS, grams: Sequence[int] = GRAMS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each n: the hash of every n-gram of bytes of the lower-cased texts, each with a blank on either side; whether it
-    lies inside one text; and the number of that text."""
-    raw = [t.lower().encode() for t in texts]
-    data = BLANK[np.frombuffer(b" " + b" \x00 ".join(raw) + b" ", dtype=np.uint8)]
-    gaps = np.cumsum([len(r) + 3 for r in raw[:-1]], dtype=np.int64) - 1
-    data[gaps] = 0
-    number = np.zeros(len(data), np.int32)
-    number[gaps] = 1
-    number = np.cumsum(number, dtype=np.int32)
-    code = data.astype(np.uint32)
-    h = np.zeros(len(code), np.uint32)
-    for n in range(1, max(grams) + 1):
-        size = len(code) - n + 1
-        if size <= 0:
-            break
-        h = (h[:size] ^ code[n - 1 :]) * np.uint32(0x9E3779B1)
-        h ^= h >> np.uint32(15)
-        if n in grams:
-            inside = (number[:size] == number[n - 1 :]) & (data[:size] != 0)
-            yield ((h + np.uint32(n)) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits), inside, number[:size]
+PIECE = 1 << 18  # characters
+
+
+def code_points(texts: Sequence[str], overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(code points, text number of each, -1 between texts) of the lower-cased texts, each with a blank on either side and white space as
+    blanks. Longer texts come in pieces that overlap by so many characters, so memory doesn't grow with a text's length."""
+    for i, text in enumerate(texts):
+        padded = f" {text.lower()} "
+        for at in range(0, max(1, len(padded) - overlap), PIECE):
+            code = np.frombuffer(padded[at : at + PIECE + overlap].encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+            code[(code == 0) | ((code >= 9) & (code <= 13))] = 32
+            yield code, np.full(len(code), i, np.int32)
+
+
+def batched(parts: Iterator[tuple[np.ndarray, np.ndarray]], overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pieces put together to about PIECE characters, with gaps that no n-gram crosses."""
+    codes, numbers, held = [], [], 0
+    gap = np.zeros(1, np.uint32), np.full(1, -1, np.int32)
+    for code, number in parts:
+        codes += [code, gap[0]]
+        numbers += [number, gap[1]]
+        held += len(code)
+        if held >= PIECE:
+            yield np.concatenate(codes), np.concatenate(numbers)
+            codes, numbers, held = [], [], 0
+    if codes:
+        yield np.concatenate(codes), np.concatenate(numbers)
+
+
+def gram_positions(texts: Sequence[str], bits: int = BITS, grams: Sequence[int] = GRAMS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each n, and each batch of pieces: the hash of every n-gram of characters, and the number of its text (-1 across texts)."""
+    overlap = max(grams) - 1
+    for code, number in batched(code_points(texts, overlap), overlap):
+        h = np.zeros(len(code), np.uint32)
+        whole = number.copy()
+        for n in range(1, max(grams) + 1):
+            size = len(code) - n + 1
+            if size <= 0:
+                break
+            h = (h[:size] ^ code[n - 1 :]) * np.uint32(0x9E3779B1)
+            h ^= h >> np.uint32(15)
+            whole = np.where(number[n - 1 :] < 0, np.int32(-1), whole[:size])
+            if n in grams:
+                yield ((h + np.uint32(n)) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits), whole
 
 
 def gram_features(texts: Sequence[str], bits: int = BITS, grams: Sequence[int] = GRAMS, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(text number, feature) of the distinct n-grams of each text, ascending; of those that `wanted` marks, if given."""
     found = []
-    for h, inside, number in gram_positions(texts, bits, grams):
-        at = np.flatnonzero(inside if wanted is None else inside & wanted[h])
-        found.append((number[at].astype(np.int64) << bits) | h[at])
+    for h, number in gram_positions(texts, bits, grams):
+        at = np.flatnonzero(number >= 0 if wanted is None else (number >= 0) & wanted[h])
+        found.append(np.unique((number[at].astype(np.int64) << bits) | h[at]))
     keys = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
     return keys >> bits, keys & ((1 << bits) - 1)
 
 
+def text_features(texts: Sequence[str], bits: int = BITS, wanted: np.ndarray | None = None) -> list[np.ndarray]:
+    """The features of each text by themselves."""
+    own, feature = gram_features(texts, bits, wanted=wanted)
+    cut = np.searchsorted(own, np.arange(len(texts) + 1))
+    return [feature[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+
 @dataclass
 class NbLinear:
     """score(x) = sigmoid(bias + sum of weight over the features present), weight = ratio * coefficient."""
@@ -70,31 +94,28 @@ class NbLinear:
         return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
 
 
-def fit_nb_linear(texts: Sequence[str], labels: Sequence[int], bits: int = BITS, smooth: float = 1.0, least: int = 3, l2: float = 0.5, rounds: int = 60, shrink: float = 2.0) -> NbLinear:
-    """Logistic regression on presence features times their log-count ratio r = log(p/|p|) - log(q/|q|).
+def log_count_ratio(pos: np.ndarray, all_: np.ndarray, toxic: float, rows: float, smooth: float = 1.0, least: int = 3, shrink: float = 2.0) -> np.ndarray:
+    """r = log(p/|p|) - log(q/|q|) of each feature, from the documents of either class that hold it, smoothed. Features in fewer than
+    `least` documents get 0, and as a count is worth less the likelier it is by chance, r is shrunk by `shrink` standard errors."""
+    p, q = pos + smooth, all_ - pos + smooth
+    ratio = np.log(p / (toxic + 2 * smooth)) - np.log(q / (rows - toxic + 2 * smooth))
+    return np.where(all_ >= least, np.sign(ratio) * np.maximum(0, np.abs(ratio) - shrink * np.sqrt(1 / p + 1 / q)), 0)
+
+
+def fit_scaled(rows: Sequence[np.ndarray], labels: np.ndarray, ratio: np.ndarray, l2: float = 0.5, rounds: int = 60) -> NbLinear:
+    """Logistic regression on presence features times their log-count ratio. rows: the features of each document, of those with a ratio.
 
-    p and q count the documents of either class that hold a feature, smoothed; features in fewer than `least` documents stay out.
     Full-batch gradient descent with per-feature steps (Adam). Without both classes the share of label 1 is the score.
     """
     y = np.asarray(labels, np.float64)
-    size = 1 << bits
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
-        return NbLinear(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
-    pos, all_ = np.zeros(size), np.zeros(size)
-    for i in range(0, len(texts), 64):
-        own, feature = gram_features(texts[i : i + 64], bits)
-        pos += np.bincount(feature, weights=y[own + i], minlength=size)
-        all_ += np.bincount(feature, minlength=size)
-    p, q = pos + smooth, all_ - pos + smooth
-    ratio = np.log(p / (y.sum() + 2 * smooth)) - np.log(q / ((1 - y).sum() + 2 * smooth))
-    # a count is worth less the likelier it is by chance: shrink by the standard error of its log ratio
-    ratio = np.where(all_ >= least, np.sign(ratio) * np.maximum(0, np.abs(ratio) - shrink * np.sqrt(1 / p + 1 / q)), 0)
-    # features are made again rather than held: only those with a ratio are kept
-    made = [gram_features(texts[i : i + 64], bits, wanted=ratio != 0) for i in range(0, len(texts), 64)]
-    flat = np.concatenate([f.astype(np.int32) for _, f in made])
-    own = np.concatenate([(o + 64 * i).astype(np.int32) for i, (o, _) in enumerate(made)])
-    used, at = np.unique(flat, return_inverse=True)
+        return NbLinear(np.zeros(len(ratio), np.float32), float(np.log(share / (1 - share))))
+    used = np.flatnonzero(ratio)
+    place = np.zeros(len(ratio), np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    at = place[np.concatenate(rows)]
+    own = np.repeat(np.arange(len(rows), dtype=np.int32), [len(f) for f in rows])
     r = ratio[used]
     coef, bias = np.full(len(used), 0.1), float(np.log(y.mean() / (1 - y.mean())))
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
@@ -108,15 +129,54 @@ def fit_nb_linear(texts: Sequence[str], labels: Sequence[int], bits: int = BITS,
         a, b = 1 - 0.9**step, 1 - 0.999**step
         coef -= 0.1 * (m / a) / (np.sqrt(v / b) + 1e-8)
         bias -= 0.1 * (mb / a) / (np.sqrt(vb / b) + 1e-8)
-    weight = np.zeros(size, np.float32)
+    weight = np.zeros(len(ratio), np.float32)
     weight[used] = coef * r
     return NbLinear(weight, bias)
 
 
+def fit_nb_linear(texts: Sequence[str], labels: Sequence[int], bits: int = BITS) -> NbLinear:
+    """The classifier of texts held in memory."""
+    y, rows = np.asarray(labels, np.float64), text_features(texts, bits)
+    pos, all_ = np.zeros(1 << bits), np.zeros(1 << bits)
+    for f, label in zip(rows, y, strict=True):
+        pos[f] += label
+        all_[f] += 1
+    ratio = log_count_ratio(pos, all_, y.sum(), len(y))
+    return fit_scaled([f[ratio[f] != 0] for f in rows], y, ratio)
+
+
+def feature_counts(sample: DataFrame, bits: int = BITS) -> DataFrame:
+    """f, pos, n: how many documents of label 1, and of any label, hold each feature. A task sends a row a feature at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pos, all_ = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        for part, texts in chunks(batches, "_text", 1 << 19):
+            label = column(part, "_label").to_numpy()
+            own, feature = gram_features(texts, bits)
+            pos += np.bincount(feature[label[own] == 1], minlength=1 << bits)
+            all_ += np.bincount(feature, minlength=1 << bits)
+        f = np.flatnonzero(all_)
+        yield pa.RecordBatch.from_arrays([pa.array(f, pa.int32()), pa.array(pos[f]), pa.array(all_[f])], names=["f", "pos", "n"])
+
+    return sample.select("_label", "_text").mapInArrow(run, "f int, pos long, n long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = None, most_rows: int = MOST_ROWS, label: str = "toxic", text: str = "text", doc_id: str = "doc_id") -> NbLinear:
-    """Fit on at most most_rows labelled documents; the text is the only input."""
-    texts, y = labelled_sample(docs, labels, label, F.lit(True) if usable is None else usable, most_rows, text, doc_id)
-    return fit_nb_linear(texts, y)
+    """Fit on at most most_rows labelled documents; the text is the only input.
+
+    Features are made and counted on the executors. The driver gets 2**BITS counts and, of each document, the features that have a ratio.
+    """
+    sample = labelled_sample(docs, labels, label, F.lit(True) if usable is None else usable, most_rows, text, doc_id)
+    counts = feature_counts(sample).toArrow()
+    pos, all_ = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    pos[counts.column("f").to_numpy()] = counts.column("pos").to_numpy()
+    all_[counts.column("f").to_numpy()] = counts.column("n").to_numpy()
+    size = sample.agg(F.sum("_label").alias("toxic"), F.count(F.lit(1)).alias("rows")).first()
+    ratio = log_count_ratio(pos, all_, size["toxic"] or 0, size["rows"])
+    wanted = ratio != 0
+    rows, y = sample_features(sample, lambda texts: text_features(texts, BITS, wanted))
+    unstash(sample)
+    return fit_scaled(rows, y, ratio)
 
 
 def score_toxicity(docs: DataFrame, model: NbLinear, text: str = "text", score: str = "score") -> DataFrame:
