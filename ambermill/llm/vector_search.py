@@ -2,8 +2,9 @@
 
 Vectors are cut into two halves, each quantised by its own k-means; a vector's cell is its pair of centroids. A query walks the
 pairs by rising summed distance with a heap (here the distance of a half is the negative inner product with its centroid)
-until the cells it has passed hold the share of the index asked for (and a least number of entries); their entries are reranked by
-the exact inner product. Entries lie in parts of cells; a cell larger than a part is spread over several.
+until the cells it has passed hold a share of the index; their entries are reranked by the exact inner product. The share is the one at which
+queries among the rows that the quantisers are fitted on find the wanted recall of their nearest in those rows (which lie
+farther apart than all rows do, so it errs on the side of recall). Entries lie in parts of cells; a cell larger than a part is spread over several.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from ambermill.llm.common import column, stash
 
 CENTROIDS = 64
 MOST_FIT = 20_000
-PART = 4_096
-QUERIES = 1_024
-SHARE = 0.5
-FLOOR = 2_000
+PART = 8_192
+QUERIES = 8_192
+RECALL = 0.95
+TRIALS = 256
 
 
 def usable(vector: Column, dim: Column | None = None) -> Column:
@@ -86,6 +87,27 @@ class MultiIndex:
         return out
 
 
+def share_for(index: MultiIndex, sample: np.ndarray, k: int, recall: float, trials: int = TRIALS) -> float:
+    """Share of an index over the sample at which walks find so much of the k nearest, over evenly chosen queries of the sample."""
+    k = min(k, len(sample) - 1)
+    if k < 1:
+        return 1.0
+    cells = index.cells(sample)
+    sizes = np.bincount(cells, minlength=len(index.first) * len(index.second))
+    need = []
+    for at in np.array_split(np.unique(np.linspace(0, len(sample) - 1, trials).astype(np.int64)), 8):
+        q = sample[at]
+        scores = q @ sample.T
+        scores[np.arange(len(at)), at] = -np.inf
+        near = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+        reach = (q[:, : index.half] @ index.first.T)[:, :, None] + (q[:, index.half :] @ index.second.T)[:, None, :]
+        order = np.argsort(-reach.reshape(len(at), len(sizes)), axis=1, kind="stable")
+        passed = np.empty(order.shape)
+        np.put_along_axis(passed, order, np.cumsum(sizes[order], axis=1), axis=1)
+        need.append(np.take_along_axis(passed, cells[near], axis=1).ravel())
+    return float(np.quantile(np.concatenate(need), recall, method="higher")) / len(sample)
+
+
 def deal_cells(sizes: np.ndarray, part: int) -> tuple[np.ndarray, np.ndarray, int]:
     """(first part, number of parts) of each cell, and the number of parts. Small cells share a part; a large one has several."""
     first, count, at, held = np.zeros(len(sizes), np.int32), np.ones(len(sizes), np.int32), 0, 0
@@ -116,15 +138,15 @@ def top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def nearest(
-    rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embedding", vec_id: str = "vec_id", centroids: int = CENTROIDS, share: float = SHARE, most_fit: int = MOST_FIT, floor: int = FLOOR
+    rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embedding", vec_id: str = "vec_id", centroids: int = CENTROIDS, recall: float = RECALL, most_fit: int = MOST_FIT
 ) -> DataFrame:
     """The k nearest rows of each query by inner product: query_id, rank (from 1), vec_id, score.
 
     is_query marks the queries among the rows; candidates are all rows but those with the query's own id. Rows without an id, and vectors that are
     NULL, zero, of another length than most, or hold a NULL or non-finite component take no part. The quantisers are fitted on at most
     most_fit rows (those of least id hash); every row is indexed. Ties go to the smaller vec_id. An empty table gives an empty one.
-    A query reranks the share of the index, and `floor` entries at least: an index of no more is searched exhaustively.
-    Queries meet entries in blocks of at most a part and about QUERIES queries.
+    A query reranks the share of the index that the wanted recall takes (share_for), whatever the index's size, and k + 1 entries at least.
+    Queries meet entries in tiles of at most a part and about QUERIES queries.
     """
     spark = rows.sparkSession
     own = rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("v"), is_query.alias("q")).where("vec_id is not null")
@@ -133,12 +155,11 @@ def nearest(
     if not fit["n"]:
         return spark.createDataFrame([], out_schema)
     own = own.where(usable(F.col("v"), F.lit(fit["dim"])))
-    part_of = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20))
-    sample = own.where(part_of <= max(1, int((1 << 20) * min(1.0, 1.2 * most_fit / fit["n"])))).select("vec_id", "v").limit(most_fit).toArrow()
-    if not sample.num_rows:
-        sample = own.select("vec_id", "v").limit(most_fit).toArrow()
-    order = np.argsort(sample.column("vec_id").to_numpy(), kind="stable")
-    index = MultiIndex.fit(np.array(sample.column("v").to_pylist(), np.float64)[order], centroids)
+    sample = own.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(most_fit).select("v").toArrow().column("v").combine_chunks()
+    sample = np.asarray(sample.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(sample), -1)
+    index = MultiIndex.fit(sample, centroids)
+    share = share_for(index, sample, k, recall)
+    del sample
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -153,7 +174,7 @@ def nearest(
         sizes[r["cell"]] = r["n"]
     total = int(sizes.sum())
     first, count, _ = deal_cells(sizes, PART)
-    wanted = max(min(total, floor), int(np.ceil(share * total)))
+    wanted = max(k + 1, int(np.ceil(share * total)))
     queries = celled.where("q").select(F.col("vec_id").alias("query_id"), "v")
     blocks = max(1, -(-queries.count() // QUERIES))
 
