@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ambermill.llm.common import column, stash
 
-CENTROIDS = 64
+CENTROIDS = 128
 MOST_FIT = 20_000
 PART = 8_192
 QUERIES = 8_192
