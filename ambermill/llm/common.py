@@ -103,3 +103,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         last, e = e, stash(hung.distinct(), "edges")
         unstash(last, low, large, least)
     raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
+def open_lists(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The lists (key, id, further columns) that hold several components, with root and grown (whether the component has several ids); stored."""
+    out = lists.withColumn("root", F.col("id")).withColumn("grown", F.lit(False))
+    if roots is not None:
+        known = stash(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), "known")
+        out = lists.join(small(known, 16).withColumnRenamed("node", "id"), "id", "left")
+        out = out.withColumn("grown", F.col("root").isNotNull()).withColumn("root", F.coalesce("root", "id"))
+    split = stash(out.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key"), "split")
+    out = stash(out.join(small(split, 8), "key", "left_semi").select(*lists.columns, "root", "grown"), "open")
+    unstash(split)
+    return out

@@ -1,26 +1,31 @@
 """Fuzzy line deduplication in DataFrame and SQL functions alone.
 
-A line is compared by its distinct character shingles: runs of WIDTH UTF-16 units of the trimmed, lower-cased line. Each shingle is
-hashed once to 32 bits; an odd factor modulo 2^32 and XOR with a constant permute these, so the least value of (hash * factor) ^ constant
-is a MinHash. XOR alone would not do: minima of few shingles then agree with each other far too often. All of a line's
-minima come from one aggregation by the line's 64-bit hash, which also makes equal lines one; no text is shuffled for it.
-BANDS bands of ROWS minima name candidate lists: a pair of similarity s shares one with probability
-1 - (1 - s^ROWS)^BANDS, 0.985 at 0.8 and above 0.999 from 0.88 on. Candidates whose bit sketches differ in more places than linked
-lines can are dropped inside the join, so that no pair is made for them; this loses no link. The others are verified by the exact Jaccard
-similarity of their shingle sets, and links go through distributed union-find. One line of each component stays: its first occurrence.
+A line is compared by its distinct character shingles: runs of WIDTH UTF-16 units of the trimmed, lower-cased line. Each shingle is hashed
+once to 64 bits; the bits of this hash from 3j on, j = 0 to 12, are 13 orders, and the least values in them the line's minima. (The leading bits
+decide a minimum, and orders overlap little enough there: simulated sets of 5 to 1,500 shingles reach the recall of independent orders.)
+The 13 bands of 4 minima are the lines of the projective plane of order 3, any two of which share one minimum: nearly
+the recall of bands with minima of their own, for a quarter of the minima. A pair of similarity s shares a band with a probability of 0.976 at 0.8, 0.993 at 0.85 and 0.998 from 0.9 on.
+Candidates are verified by the exact Jaccard similarity of their shingle sets, and links go through distributed union-find. One line of
+each component stays: its first occurrence.
+
+All minima of a line come from one aggregation, BLOCK shingles an exploded row, which also makes equal lines one; no text is shuffled for it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ambermill.llm.common import components, stash
+from ambermill.functions.columns import fresh_names
+from ambermill.llm.common import components, open_lists, small, stash, unstash
 
-WIDTH, BANDS, ROWS = 8, 8, 4
-SKETCH = 32  # longs
-LOW32, LOW64 = (1 << 32) - 1, (1 << 64) - 1
-MOST_BROADCAST = 1_000_000
+WIDTH = 8
+MINIMA, BAND = 13, (0, 1, 3, 9)  # every difference of two minima occurs once modulo 13, which makes the shifted bands a projective plane
+BLOCK = 16
+SKETCH = 16  # longs
+ROUNDS, HEADS = 3, 4
 
 
 def normal(line: Column) -> Column:
@@ -32,143 +37,176 @@ def units(line: Column) -> Column:
     return F.encode(line, "UTF-16BE")
 
 
-def places(line_units: Column, width: int) -> Column:
-    """The bytes, from 1, at which shingles start; one place for a line shorter than a shingle."""
-    return F.sequence(F.lit(1), F.greatest(F.octet_length(line_units) - 2 * width, F.lit(0)) + 1, F.lit(2))
-
-
-def mixed(x: int) -> int:
-    """SplitMix64's output for a state."""
-    x = (x + 0x9E3779B97F4A7C15) & LOW64
-    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & LOW64
-    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & LOW64
-    return x ^ x >> 31
+def last_place(line_units: Column, width: int) -> Column:
+    """The byte, from 1, at which the last shingle starts. A line shorter than a shingle is one by itself."""
+    return F.greatest(F.octet_length(line_units) - (2 * width - 1), F.lit(1))
 
 
-def constants(count: int) -> list[tuple[int, int]]:
-    """Odd factors of 31 bits, so that a product with 32 bits stays within a long, and 32-bit XOR constants."""
-    return [(mixed(2 * j) >> 33 | 1, mixed(2 * j + 1) >> 32) for j in range(count)]
-
-
-def permuted(h: Column, factor: int, constant: int) -> Column:
-    """A permutation of the 32-bit numbers h, given as longs from 0."""
-    return (h * F.lit(factor).cast("long")).bitwiseXOR(F.lit(constant).cast("long")).bitwiseAND(F.lit(LOW32))
+def block_of_shingles(line_units: Column, at: Column, last: Column, width: int, block: int = BLOCK) -> list[Column]:
+    """Hashes of the shingles from byte `at` on; beyond the end the last one repeats, which changes no set."""
+    return [F.xxhash64(F.substring(line_units, F.least(at + 2 * k, last), F.lit(2 * width))) for k in range(block)]
 
 
 def occurrences(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """doc_id, text_hash, line_no and line (normalised) of every line that isn't blank."""
-    body = F.col(text)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("text_hash"), F.posexplode(F.split(body, "\n")).alias("line_no", "_line"))
-    rows = rows.withColumn("line", normal(F.col("_line"))).drop("_line").where(F.length("line") > 0)
-    return rows.withColumn("line_id", F.xxhash64("line"))
+    """doc_id, text_hash, line_no, line (normalised, may be blank), line_id and check: two independent hashes of the line."""
+    body = F.col(f"`{text}`")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("text_hash"), F.posexplode(F.split(body, "\n")).alias("line_no", "_line"))
+    rows = rows.select("doc_id", "text_hash", "line_no", normal(F.col("_line")).alias("line"))
+    return rows.select("*", F.xxhash64("line").alias("line_id"), F.xxhash64(F.lit(1), F.col("line")).alias("check"))
 
 
-def signatures(lines: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """line_id and its minima m0, m1, ..."""
-    cut = lines.select("line_id", units(F.col("line")).alias("u")).select("line_id", "u", F.explode(places(F.col("u"), width)).alias("i"))
-    hashed = cut.select("line_id", F.hash(F.substring(F.col("u"), F.col("i"), F.lit(2 * width))).cast("long").bitwiseAND(F.lit(LOW32)).alias("h"))
-    return hashed.groupBy("line_id").agg(*[F.min(permuted(F.col("h"), *c)).alias(f"m{j}") for j, c in enumerate(constants(bands * rows))])
+def signatures(lines: DataFrame, width: int) -> DataFrame:
+    """id, copies (occurrences) and the keys of its bands, from (line_id, line)."""
+    cut = lines.select("line_id", units(F.col("line")).alias("u")).select("line_id", "u", last_place(F.col("u"), width).alias("last"))
+    cut = cut.select("line_id", "u", "last", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(2 * BLOCK))).alias("i"))
+    hashed = cut.select("line_id", "i", *[h.alias(f"h{k}") for k, h in enumerate(block_of_shingles(F.col("u"), F.col("i"), F.col("last"), width))])
+    least = [F.min(F.least(*[F.shiftleft(f"h{k}", 3 * j) if j else F.col(f"h{k}") for k in range(BLOCK)])).alias(f"m{j}") for j in range(MINIMA)]
+    keys = F.array(*[F.xxhash64(F.lit(n), *[F.col(f"m{(n + d) % MINIMA}") for d in BAND]) for n in range(MINIMA)])
+    return hashed.groupBy("line_id").agg(F.count_if(F.col("i") == 1).alias("copies"), *least).select(F.col("line_id").alias("id"), "copies", keys.alias("keys"))
 
 
-def band_lists(signed: DataFrame, bands: int, rows: int) -> DataFrame:
-    """key, id, head (a line of the list) of the lists with more than one line.
+def central_heads(lists: DataFrame) -> DataFrame:
+    """key, head of lists (key, id, c): the line whose lists are longest in sum, so one that agrees with many others. Among copies edited
+    apart from each other it is near their source, and comparing each line with it joins most of them."""
+    weights = lists.groupBy("id").agg(F.sum("c").alias("w"))
+    return lists.join(weights, "id").groupBy("key").agg(F.max(F.struct("w", "id"))["id"].alias("head"))
 
-    The head is the line whose lists are longest in sum, so one that agrees with many others: among copies edited apart from each
-    other it is near their source, and comparing each line with it joins most of them.
-    """
-    keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)])
-    lists = signed.select(F.col("line_id").alias("id"), F.explode(keys).alias("key"))
-    lists = stash(lists.withColumn("c", F.expr("count(*) over (partition by key)")).where("c > 1"), "lists")
-    seen = lists.groupBy("id").agg(F.sum("c").alias("w"))
-    return lists.join(seen, "id").select("key", "id", F.expr("max(struct(w, id)) over (partition by key)")["id"].alias("head"))
+
+def shingle_blocks(texts: DataFrame, line: str, width: int) -> DataFrame:
+    """texts with `s`, arrays of BLOCK shingles, a row each."""
+    cut = texts.withColumn("u", units(F.col(line))).drop(line).withColumn("last", last_place(F.col("u"), width))
+    cut = cut.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(2 * BLOCK))))
+    return cut.withColumn("s", F.array(*block_of_shingles(F.col("u"), F.col("i"), F.col("last"), width))).drop("u", "last", "i")
 
 
 def sketches(texts: DataFrame, width: int) -> DataFrame:
-    """id, n (shingles, repeats included) and a bit set of the line's shingles in SKETCH longs w0, w1, ..."""
-    cut = texts.select("line_id", units(F.col("line")).alias("u")).select("line_id", "u", F.explode(places(F.col("u"), width)).alias("i"))
-    hashed = cut.select("line_id", F.xxhash64(F.substring(F.col("u"), F.col("i"), F.lit(2 * width))).alias("h"))
-    marked = hashed.select("line_id", F.pmod("h", F.lit(SKETCH)).alias("k"), F.expr("shiftleft(1L, cast(shiftright(h, 32) & 63 as int))").alias("bit"))
-    words = [F.bit_or(F.when(F.col("k") == k, F.col("bit")).otherwise(F.lit(0))).alias(f"w{k}") for k in range(SKETCH)]
-    return marked.groupBy(F.col("line_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), *words)
+    """id, n (distinct shingles) and w0, w1, ...: the parity of the shingles that fall on each of 64 * SKETCH bits."""
+    sets = shingle_blocks(texts.select("line_id", "line").repartition("line_id"), "line", width).groupBy("line_id").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("s"))
+    each = sets.select(F.col("line_id").alias("id"), F.explode("s").alias("h"))
+    marked = each.select("id", F.pmod("h", F.lit(SKETCH)).alias("k"), F.expr("shiftleft(1L, cast(shiftright(h, 32) & 63 as int))").alias("bit"))
+    words = marked.groupBy("id", "k").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("bit").alias("w"))
+    return words.groupBy("id").agg(F.sum("n").alias("n"), *[F.coalesce(F.max(F.when(F.col("k") == w, F.col("w"))), F.lit(0)).alias(f"w{w}") for w in range(SKETCH)])
 
 
-def side(sketch: DataFrame, x: str) -> DataFrame:
-    return sketch.select(*[F.col(c).alias(x if c == "id" else c + x) for c in sketch.columns])
+def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have 100 * intersection >= percent * union; total is the sum of both sizes. Lines travel; their
+    shingles are hashed where they meet."""
+    side = lambda x: texts.select(F.col("line_id").alias(x), F.col("line").alias(f"l{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "total", units(F.col("la")).alias("ua"), units(F.col("lb")).alias("ub"))
+    both = both.repartition("a", "b")
+    cut = both.select("*", last_place(F.col("ua"), width).alias("za"), last_place(F.col("ub"), width).alias("zb"))
+    cut = cut.select("*", F.explode(F.sequence(F.lit(1), F.greatest("za", "zb"), F.lit(2 * BLOCK))).alias("i"))
+    sides = [F.array(*block_of_shingles(F.col(f"u{x}"), F.col("i"), F.col(f"z{x}"), width)).alias(f"s{x}") for x in "ab"]
+    sets = cut.select("a", "b", "total", *sides).groupBy("a", "b", "total").agg(*[F.flatten(F.collect_list(f"s{x}")).alias(f"s{x}") for x in "ab"])
+    return sets.where(F.size(F.array_intersect("sa", "sb")) * (100 + percent) >= F.col("total") * percent).select("a", "b")
 
 
 def may_link(percent: int) -> Column:
-    """Whether sides a and b may be linked. Each bit in which they differ stands for a shingle that only one has, and at a
-    similarity of s such shingles are at most (1 - s) / (1 + s) of both sets' sizes together. n is never below a set's size."""
-    apart = F.lit(0)
-    for k in range(SKETCH):
-        apart = apart + F.bit_count(F.col(f"w{k}a").bitwiseXOR(F.col(f"w{k}b")))
+    """Whether sides a and b may be linked; only pairs that can't be are refused. Each bit in which sketches differ stands for a
+    shingle that only one side has, and linked sets have at most (1 - s) / (1 + s) of both sizes together of those."""
+    apart = sum((F.bit_count(F.col(f"w{k}a").bitwiseXOR(F.col(f"w{k}b"))) for k in range(SKETCH)), F.lit(0))
     return apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
 
 
-def shingles(line_units: Column, width: int) -> Column:
-    """Distinct shingles of a normalised line, as 64-bit hashes. line_units is a column, not an expression: a lambda would work it out anew for every shingle."""
-    return F.array_distinct(F.transform(places(line_units, width), lambda i: F.xxhash64(F.substring(line_units, i, F.lit(2 * width)))))
-
-
-def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have 100 * intersection >= percent * union."""
-    joined = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("la")), "a").join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("lb")), "b")
-    cut = joined.select("a", "b", units(F.col("la")).alias("ua"), units(F.col("lb")).alias("ub"))
-    sets = cut.select("a", "b", shingles(F.col("ua"), width).alias("sa"), shingles(F.col("ub"), width).alias("sb"))
-    # stored before the filter, which would else be pushed below the sets and work them out, and the encoding, many times over
-    both = stash(sets.select("a", "b", (F.size("sa") + F.size("sb")).alias("total"), F.size(F.array_intersect("sa", "sb")).alias("shared")), "both")
-    return both.where(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("a", "b")
+def drawn_heads(lists: DataFrame, turn: int) -> DataFrame:
+    """key, head, head_root of open lists: HEADS lines of each, drawn by hash anew each turn, those of grown components first. Lists of much the
+    same lines draw much the same heads."""
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("grown").desc(), F.xxhash64("id", F.lit(turn)), "id"))
+    return lists.withColumn("rank", rank).where(F.col("rank") <= HEADS).select("key", F.col("id").alias("head"), F.col("root").alias("head_root"))
 
 
-def line_components(lines: DataFrame, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, percent: int = 80) -> DataFrame:
-    """(node, root) over line ids for lines that are near another. lines: line_id, line.
+def line_components(lines: DataFrame, width: int = WIDTH, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(node, root) over line ids for lines that are near another, the texts compared, and the ids of lines that occur
+    more than once. lines: line_id, check, line, an occurrence each.
 
-    Each line is first compared with the head of each of its lists; then lists that still hold several components compare lines
-    across them. So every pair of a list is either verified or in one component already.
+    Each line is first compared with the central head of each of its lists, then, in lists that still hold several components, with a few drawn
+    heads; so large groups become components in steps that grow with their size. What is open then is compared across components. Sketches
+    rule pairs out beforehand. So every pair of a list is verified, ruled out or in one component already.
     """
-    lists = stash(band_lists(signatures(lines, width, bands, rows), bands, rows), "lists")
+    signed = stash(signatures(lines, width), "signed")
+    repeated = stash(signed.where("copies > 1").select(F.col("id").alias("line_id")), "repeated")
+    keyed = signed.select("id", F.explode("keys").alias("key"))
+    counts = stash(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "counts")
+    lists = stash(keyed.join(small(counts, 16), "key"), "lists")
     ids = stash(lists.select(F.col("id").alias("line_id")).distinct(), "ids")
-    few = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
-    texts = stash(lines.select("line_id", "line").join(few, "line_id", "left_semi").dropDuplicates(["line_id"]), "texts")
+    texts = stash(lines.select("line_id", "check", "line").join(small(ids, 8), "line_id", "left_semi").dropDuplicates(["line_id"]), "texts")
     sketch = stash(sketches(texts, width), "sketch")
-    first = lists.where("id <> head").select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b")).distinct()
-    first = stash(first.join(side(sketch, "a"), "a").join(side(sketch, "b"), "b").where(may_link(percent)).select("a", "b"), "first")
-    proven = stash(similar(first, texts, width, percent), "proven")
-    roots = components(proven)
-    named = lists.drop("head").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    split = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    open_ = stash(named.join(split, "key", "left_semi"), "open")
-    left = open_.select("key", F.col("id").alias("a"), F.col("root").alias("ra")).join(side(sketch, "a"), "a")
-    right = open_.select("key", F.col("id").alias("b"), F.col("root").alias("rb")).join(side(sketch, "b"), "b")
-    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b")) & may_link(percent)).select("a", "b").distinct()
-    pairs = stash(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
-    if pairs.isEmpty():
-        return roots
-    return components(proven.unionByName(similar(pairs, texts, width, percent)))
-
-
-def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, percent: int = 80) -> DataFrame:
+    side = lambda x: sketch.select(*[F.col(c).alias(x if c == "id" else c + x) for c in sketch.columns])
+    total = (F.col("na") + F.col("nb")).alias("total")
+    union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
+    proven, tried, roots, open_ = [], [], None, None
+    for turn in range(ROUNDS):
+        if turn == 0:
+            heads = stash(central_heads(lists), "heads")
+            met = lists.join(small(heads, 16), "key").where("id <> head")
+        else:
+            open_ = open_lists(lists.select("key", "id"), roots)
+            heads = stash(drawn_heads(open_, turn), "heads")
+            met = open_.join(small(heads, 24), "key").where("root <> head_root")
+        met = met.select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b")).distinct()
+        tried.append(stash(met.join(side("a"), "a").join(side("b"), "b").where(may_link(percent)).select("a", "b", total), "tried"))
+        proven.append(stash(similar(tried[-1], texts, width, percent), "proven"))
+        unstash(heads)
+        if proven[-1].isEmpty():
+            break
+        roots = components(union(proven))
+    open_ = open_lists(lists.select("key", "id"), roots)
+    unstash(counts, lists)
+    if not open_.isEmpty():
+        own = stash(open_.select("id").distinct(), "own")
+        keys = signed.drop("copies").join(small(own, 8), "id", "left_semi")
+        sides = open_.drop("grown").join(keys.join(sketch, "id"), "id")
+        # a band's key tells the band, so a pair is made in the first of its lists only: where no earlier key is shared
+        earlier = F.slice("keys", F.lit(1), F.array_position("keys", F.col("key")).cast("int") - 1)
+        sides = stash(sides.withColumn("earlier", earlier).drop("keys"), "sides")
+        half = lambda x: sides.select(*[F.col(c).alias(x if c == "id" else c + x) for c in sides.columns])
+        apart = (F.col("keya") == F.col("keyb")) & (F.col("roota") != F.col("rootb")) & (F.col("a") < F.col("b"))
+        met = half("a").join(half("b"), apart & may_link(percent) & ~F.arrays_overlap("earliera", "earlierb"))
+        pairs = stash(met.select("a", "b", total).join(union(tried).select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            roots = components(union([*proven, similar(pairs, texts, width, percent)]))
+        unstash(own, sides, pairs)
+    unstash(signed, ids, sketch, open_, *tried, *proven)
+    if roots is None:
+        roots = texts.where(F.lit(False)).select(F.col("line_id").alias("node"), F.col("line_id").alias("root"))
+    return roots, texts, repeated
+
+
+def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH, percent: int = 80) -> DataFrame:
     """One row a line: doc_id, text_hash, line_no (from 0), line_id, component (of lines), kept.
 
-    The first occurrence of a component, by doc_id (NULL first) and line number, is kept. Blank lines are not compared and
-    have no row; NULL and empty texts have none at all. Lines shorter than a shingle equal only themselves. Rows that repeat an id and
-    text count as one document, whose lines stay or go together. An empty table gives an empty one; further columns play no part.
+    The first occurrence of a component, by doc_id (NULL first), hash of the document's text and line number, is kept. Blank lines are not
+    compared and have no row; NULL and empty texts have none at all. Lines shorter than a shingle equal only themselves. Rows that repeat an id and
+    text count as one document, whose lines stay or go together; rows of one id with different texts (or of NULL ids) are different
+    documents. Lines are told apart by two 64-bit hashes; line_id and component show one. An empty table gives an empty one; further columns play no part.
     """
-    rows_ = occurrences(docs, text, doc_id)
-    roots = line_components(rows_, width, bands, rows, percent)
-    named = rows_.drop("line").join(roots.select(F.col("node").alias("line_id"), "root"), "line_id", "left")
-    named = named.withColumn("component", F.coalesce("root", "line_id")).drop("root")
-    firsts = named.groupBy("component").agg(F.min(F.struct("doc_id", "line_no")).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    out = named.join(firsts, "component", "left")
-    kept = F.col("_first").isNull() | (F.col("_first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_first.line_no") == F.col("line_no")))
-    return out.select("doc_id", "text_hash", "line_no", "line_id", "component", kept.alias("kept"))
+    lines = stash(occurrences(docs, text, doc_id), "lines").where("line <> ''")
+    roots, texts, repeated = line_components(lines, width, percent)
+    checks = texts.select("line_id", "check")
+    near = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    near = near.join(checks.withColumnRenamed("line_id", "node"), "node").join(checks.select(F.col("line_id").alias("root"), F.col("check").alias("root_check")), "root")
+    near = stash(near.select(F.col("node").alias("line_id"), "check", "root", "root_check"), "near")
+    named = lines.drop("line").join(small(near, 32), ["line_id", "check"], "left")
+    named = named.withColumn("component", F.coalesce("root", "line_id")).withColumn("component_check", F.coalesce("root_check", "check")).drop("root", "root_check")
+    component = ["component", "component_check"]
+    shared = stash(repeated.unionByName(near.select("line_id")).distinct(), "shared")
+    firsts = named.join(small(shared, 8), "line_id", "left_semi").groupBy(*component).agg(F.min(F.struct("doc_id", "text_hash", "line_no")).alias("_first"))
+    firsts = stash(firsts, "firsts")
+    unstash(repeated, texts, shared)
+    out = named.join(small(firsts, 48), component, "left")
+    same = F.col("_first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_first.text_hash") == F.col("text_hash")) & (F.col("_first.line_no") == F.col("line_no"))
+    return out.select("doc_id", "text_hash", "line_no", "line_id", "component", (F.col("_first").isNull() | same).alias("kept"))
 
 
 def drop_duplicate_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **params) -> DataFrame:
     """docs with the lines that dedup_lines doesn't keep taken out of the text; all columns and rows stay. A NULL text stays NULL."""
+    id_, hash_, gone_, lines_ = fresh_names(docs.columns, "_id", "_hash", "_gone", "_lines")
+    body = F.col(f"`{text}`")
     gone = dedup_lines(docs, text, doc_id, **params).where("not kept")
-    gone = gone.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.array_sort(F.collect_set("line_no")).alias("_gone"))
-    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash")), "left")
-    rest = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    new = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(rest)
-    return joined.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    gone = gone.groupBy(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).agg(F.collect_set("line_no").alias(gone_))
+    joined = docs.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col(id_)) & (F.xxhash64(body) == F.col(hash_)), "left")
+    cut = joined.withColumn(lines_, F.when(F.col(gone_).isNotNull(), F.split(body, "\n")))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines_) - 1), F.col(gone_))
+    rest = F.array_join(F.transform(left, lambda i: F.get(F.col(lines_), i)), "\n")
+    new = F.when(F.col(gone_).isNull(), body).otherwise(rest)
+    return cut.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

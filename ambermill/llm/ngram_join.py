@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ambermill.llm.common import chunks, column, components, small, stash, unstash
+from ambermill.llm.common import chunks, column, components, open_lists, small, stash, unstash
 from ambermill.llm.hashing import WORDS, shingle_hashes, splitmix, text_batches, word_hashes
 
 FULL = float(1 << 64)
@@ -239,19 +239,6 @@ def token_lists(shown: DataFrame, percent: int) -> DataFrame:
     return lists
 
 
-def spread_roots(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """The lists that hold several components: key, id, n, holder, root, grown (whether the component has several classes); stored."""
-    out = lists.withColumn("root", F.col("id")).withColumn("grown", F.lit(False))
-    if roots is not None:
-        known = stash(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), "known")
-        out = lists.join(small(known, 16).withColumnRenamed("node", "id"), "id", "left")
-        out = out.withColumn("grown", F.col("root").isNotNull()).withColumn("root", F.coalesce("root", "id"))
-    split = stash(out.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key"), "split")
-    out = stash(out.join(small(split, 8), "key", "left_semi").select("key", "id", "n", "holder", "root", "grown"), "open")
-    unstash(split)
-    return out
-
-
 def met_heads(lists: DataFrame, outline: DataFrame, percent: int, turn: int) -> DataFrame:
     """(a, b): each class with the heads of its lists that are of other components and that it may be linked with; stored. A list has
     HEADS heads, drawn by hash anew each turn, classes of grown components first; lists of much the same classes draw much the same heads, so pairs stay few."""
@@ -270,14 +257,14 @@ def class_links(lists: DataFrame, outline: DataFrame, verifier: Verifier) -> Dat
     percent, proven, tried, roots = verifier.percent, [], [], None
     union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
     for turn in range(ROUNDS):
-        open_ = spread_roots(lists, roots)
+        open_ = open_lists(lists, roots)
         tried.append(met_heads(open_, outline, percent, turn))
         proven.append(verifier.linked(tried[-1]))
         unstash(open_)
         if proven[-1].isEmpty():
             break
         roots = components(union(proven))
-    open_ = spread_roots(lists, roots)
+    open_ = open_lists(lists, roots)
     own = stash(outline.join(open_.select(F.col("id").alias("h")).distinct(), "h", "left_semi"), "own")
     sides = stash(open_.drop("grown").withColumnRenamed("id", "h").join(own, "h"), "sides")
     left, right = named(sides.where("holder").drop("holder"), "a"), named(sides.drop("holder"), "b")

@@ -2,7 +2,10 @@
 
 import random
 
-from ambermill.llm.line_dedup import band_lists, dedup_lines, signatures
+import pytest
+
+from ambermill.llm import common
+from ambermill.llm.line_dedup import dedup_lines, drop_duplicate_lines, signatures
 
 
 def components_of(spark, lines):
@@ -25,10 +28,8 @@ def test_recall_on_short_lines(spark):
             line = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n + 7))
             pairs.setdefault((n, cut), []).append((len(lines), len(lines) + 1))
             lines += [line, line[cut:]]
-    signed = signatures(spark.createDataFrame(list(enumerate(lines)), "line_id long, line string"), 8, 8, 4)
-    lists = {}
-    for r in band_lists(signed, 8, 4).collect():
-        lists.setdefault(r.id, set()).add(r.key)
+    signed = signatures(spark.createDataFrame(list(enumerate(lines)), "line_id long, line string"), 8)
+    lists = {r.id: set(r["keys"]) for r in signed.collect()}
     for (n, cut), own in pairs.items():
         claimed = 1 - (1 - (1 - cut / n) ** 4) ** 8
         found = sum(bool(lists.get(a, set()) & lists.get(b, set())) for a, b in own) / len(own)
@@ -41,3 +42,56 @@ def test_one_substitution_links_from_79_characters_on(spark):
     for n, linked in ((78, False), (79, True), (82, True)):
         of = components_of(spark, [line[:n], line[:39] + "#" + line[40:n]])
         assert (len(set(of.values())) == 1) == linked, n
+
+
+def test_one_line_a_component_whatever_the_ids(spark):
+    """Rows without an id, or that repeat one with other texts, are documents of their own; rows equal in id and text are one."""
+    line = "the very same line of words in all of these documents"
+    rows = [(None, f"{line}\nfirst of its kind and like no other"), (None, f"{line}\nsecond, which resembles nothing else at all"), (7, line), (7, f"own start of seven\n{line}"), (7, line)]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({(r.doc_id, r.text_hash, r.line_no) for r in got if r.kept and r.component == next(x.component for x in got if x.doc_id == 7 and x.line_no == 0 and not x.kept)}) == 1
+    assert sum(r.kept for r in got) == 4
+
+
+def test_near_copies_of_one_line_become_one_component(spark):
+    """Hundreds of copies, each edited in its own place, some of them apart from the source: every link counts."""
+    rng = random.Random(11)
+    source = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=120))
+    lines = [source]
+    for _ in range(300):
+        x = list(source)
+        for at in rng.sample(range(120), rng.choice((1, 1, 2))):
+            x[at] = rng.choice("ABC#+-")
+        lines.append("".join(x))
+    lines = sorted(set(map(str.lower, lines)))
+    sets = [{x[i : i + 8] for i in range(len(x) - 7)} for x in lines]
+    root = list(range(len(lines)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(lines)):
+        for j in range(i):
+            n = len(sets[i] & sets[j])
+            if 10 * n >= 8 * (len(sets[i]) + len(sets[j]) - n):
+                root[find(i)] = find(j)
+    of = components_of(spark, lines)
+    groups = {}
+    for i, x in enumerate(lines):
+        groups.setdefault(find(i), set()).add(of[x])
+    assert sum(len(g) == 1 for g in groups.values()) >= 0.98 * len(groups)
+    assert len(set(of.values())) <= len(groups) + 3
+
+
+@pytest.mark.parametrize("most", [-1, 16 << 20])
+def test_long_lines_and_texts_of_many_lines(spark, monkeypatch, most):
+    """Also with no broadcast at all, as on tables beyond the bound."""
+    monkeypatch.setattr(common, "BROADCAST_BYTES", most)
+    rng = random.Random(2)
+    long = "".join(rng.choices("abcdef", k=300_000))
+    many = "\n".join(f"line number {i} of many, made of {rng.random()}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, long), (2, long[:150_000] + "#" + long[150_000:]), (3, many), (4, many)], "doc_id long, text string")
+    out = {r.doc_id: r.text for r in drop_duplicate_lines(docs).collect()}
+    assert out == {1: long, 2: "", 3: many, 4: ""}
