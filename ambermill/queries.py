@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ambermill.functions.columns import add_derived_columns, cast_columns, day_start, epoch_seconds, hour_of_day, normalize_columns, ratio_clip, run_key_column
 from ambermill.operators.asof import as_of_join
 from ambermill.operators.relational import dedup_keep_latest, first_per_group
-from ambermill.operators.skew import detect_hot_keys, hot_key_counts, salted_aggregate
+from ambermill.operators.skew import find_hot_keys, hot_key_counts, salted_aggregate
 from ambermill.operators.windows import FeatureAgg, TrailingFrame, add_sliced_trailing_windows, add_trailing_windows
 from ambermill.plans.bronze import date_range as in_range
 from ambermill.plans.features import compute_joined_features, daily_partials, day_grain_features, event_grain_features
@@ -252,7 +252,7 @@ def hot_keys(spark, sf_dir):
 @query(SUPP)
 def salt_agg(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", cents("l_extendedprice").alias("c"))
-    return salted_aggregate(li, ["l_suppkey"], "l_suppkey", detect_hot_keys(li, "l_suppkey", 600), 16, [("c", "count"), ("c", "sum"), ("c", "avg")])
+    return salted_aggregate(li, ["l_suppkey"], "l_suppkey", find_hot_keys(li, "l_suppkey", 600), 16, [("c", "count"), ("c", "sum"), ("c", "avg")])
 
 
 @query("SELECT l_orderkey, l_linenumber, n FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2) WHERE n > 1")
