@@ -66,6 +66,24 @@ def build_session(app: str, config: Mapping, profile: str | None = None, overrid
     return spark
 
 
+# What a task over whole texts holds at once: a row group of each file, a batch of rows of the reader, an Arrow batch, and what it aggregates
+# of a partition. By default these are 128 MB, 4,096 rows, 10,000 rows and up to 64 MB compressed, so that 8 tasks don't fit a heap of 1 GB.
+TASK_MEMORY = {
+    "parquet.block.size": str(8 << 20),
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+}
+
+
+def bound_task_memory(spark: SparkSession) -> None:
+    """Set TASK_MEMORY for the session, whose frames are planned and written later; what the session sets itself stays."""
+    own = {r.key for r in spark.sql("SET").collect()}
+    for key, value in TASK_MEMORY.items():
+        if key not in own:
+            spark.conf.set(key, value)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder of the cluster (spark.checkpoint.dir). Where it is unset, a local master gets a temporary one; on a cluster
     other machines couldn't see that, so it is an error."""

@@ -3,7 +3,9 @@
 import re
 
 import corpus_pipeline as pipeline
+import pyarrow.parquet as pq
 import pytest
+from ambermill import session
 from ambermill.llm.quality import score_quality, train_quality
 from ambermill.llm.toxicity import score_toxicity, train_toxicity
 
@@ -142,3 +144,21 @@ def test_odd_and_empty_tables(spark, odd, name):
         assert len(rows) == odd.count()
     empty = stage(spark, odd.limit(0), SMALL)
     assert empty.collect() == []
+
+
+def test_results_have_small_row_groups(spark, tmp_path, monkeypatch):
+    """A stage's result with row groups of 128 MB, however it is written, didn't fit the next stage's heap."""
+    reader = "spark.sql.parquet.columnarReaderBatchSize"
+    for key in session.TASK_MEMORY:
+        spark.conf.unset(key)
+    spark.conf.set(reader, "64")
+    monkeypatch.setitem(session.TASK_MEMORY, "parquet.block.size", str(64 << 10))
+    try:
+        pipeline.toxicity(spark, read(spark, "documents"), SMALL).coalesce(1).write.parquet(f"{tmp_path}/kept")
+        (file,) = tmp_path.glob("kept/*.parquet")
+        found = pq.ParquetFile(file).metadata
+        assert found.num_row_groups > 1 and spark.conf.get(reader) == "64"
+        assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == session.TASK_MEMORY["spark.sql.execution.arrow.maxRecordsPerBatch"]
+    finally:
+        for key in session.TASK_MEMORY:
+            spark.conf.unset(key)
