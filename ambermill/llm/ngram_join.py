@@ -15,7 +15,7 @@ and under any order the first p + 1 of that part hold a token of the other. Orde
 Pairs that pass all filters are verified on their whole token sets. Documents with equal sets are one class from the start. In ROUNDS rounds, each
 list gets HEADS heads, and each class is compared with the heads of its lists, where sizes and parity sketches allow it; so large groups
 of copies become components in steps that grow with their size. Lists that then still hold several components pair their classes
-across components, where sizes and sketches allow it.
+across components, each pair in the first list that it shares, where sizes and sketches allow it.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ FULL = float(1 << 64)
 SLACK, MARGIN = 1.2, 12.0
 SKETCH, WIDE, LARGE = 16, 256, 800  # longs, longs, tokens
 ROUNDS, HEADS = 2, 8
+EARLIER = 64  # keys
 ORDERS = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -252,29 +253,42 @@ def met_heads(lists: DataFrame, outline: DataFrame, percent: int, turn: int) ->
     return out
 
 
+def cross_pairs(lists: DataFrame, outline: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(a, b), and the stored tables it reads: the classes of open lists that are of different components and may be linked, where the smaller holds a list that the other is in.
+
+    Of equal sizes either could be the smaller, so the lesser id is. A row is made in the first such list alone: `earlier` are the lists before, at
+    most EARLIER of them, so that rows stay small; a pair that only meets beyond those comes up again, and is one by distinct().
+    """
+    own = lists.groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("keys"), F.array_sort(F.collect_list(F.when(F.col("holder"), F.col("key")))).alias("held"))
+    own = stash(own.select(F.col("id").alias("h"), *[F.slice(c, 1, EARLIER).alias(c) for c in ("keys", "held")]), "own")
+    sides = stash(lists.drop("grown").withColumnRenamed("id", "h").join(outline.join(own, "h"), "h"), "sides")
+    before = lambda c: F.filter(c, lambda k: k < F.col("key")).alias("earlier")
+    left = named(sides.where("holder").select("h", "key", "n", "root", "sketch", before("held")), "a")
+    right = named(sides.select("h", "key", "n", "root", "sketch", before("keys")), "b")
+    smaller = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    fits = (F.col("key_a") == F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & smaller & may_link(percent) & ~F.arrays_overlap("earlier_a", "earlier_b")
+    return left.join(right, fits).select("a", "b"), [own, sides]
+
+
 def class_links(lists: DataFrame, outline: DataFrame, verifier: Verifier) -> DataFrame | None:
     """(node, root) of classes that are linked, as components() gives them. A pair counts if it shares a list that its smaller class holds."""
     percent, proven, tried, roots = verifier.percent, [], [], None
     union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
+    open_ = open_lists(lists, roots)
     for turn in range(ROUNDS):
-        open_ = open_lists(lists, roots)
         tried.append(met_heads(open_, outline, percent, turn))
         proven.append(verifier.linked(tried[-1]))
-        unstash(open_)
         if proven[-1].isEmpty():
             break
         roots = components(union(proven))
-    open_ = open_lists(lists, roots)
-    own = stash(outline.join(open_.select(F.col("id").alias("h")).distinct(), "h", "left_semi"), "own")
-    sides = stash(open_.drop("grown").withColumnRenamed("id", "h").join(own, "h"), "sides")
-    left, right = named(sides.where("holder").drop("holder"), "a"), named(sides.drop("holder"), "b")
-    fits = (F.col("key_a") == F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & (F.col("n_a") <= F.col("n_b")) & may_link(percent)
+        unstash(open_)
+        open_ = open_lists(lists, roots)
+    met, stored = cross_pairs(open_, outline, percent)
     ordered = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    met = left.join(right, fits).select(*ordered).distinct()
-    pairs = stash(met.join(union(tried).select(*ordered), ["a", "b"], "left_anti"), "pairs")
+    pairs = stash(met.select(*ordered).distinct().join(union(tried).select(*ordered), ["a", "b"], "left_anti"), "pairs")
     if not pairs.isEmpty():
         roots = components(union([*proven, verifier.linked(pairs)]))
-    unstash(open_, own, sides, pairs, *tried, *proven)
+    unstash(open_, *stored, pairs, *tried, *proven)
     return roots
 
 
