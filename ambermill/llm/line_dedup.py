@@ -25,7 +25,9 @@ WIDTH = 8
 MINIMA, BAND = 13, (0, 1, 3, 9)  # every difference of two minima occurs once modulo 13, which makes the shifted bands a projective plane
 BLOCK = 16
 SKETCH = 16  # longs
+ENDS = 8  # halvings
 ROUNDS, HEADS = 3, 4
+FEW = 8  # pairs a row of all lists; open lists of no more than that are compared without a further round of heads
 
 
 def normal(line: Column) -> Column:
@@ -66,10 +68,10 @@ def signatures(lines: DataFrame, width: int) -> DataFrame:
 
 
 def central_heads(lists: DataFrame) -> DataFrame:
-    """key, head of lists (key, id, c): the line whose lists are longest in sum, so one that agrees with many others. Among copies edited
-    apart from each other it is near their source, and comparing each line with it joins most of them."""
+    """key, head of the lists (key, id, c) of more than two lines: the line whose lists are longest in sum, so one that agrees with many others.
+    Among copies edited apart from each other it is near their source, and comparing each line with it joins most of them."""
     weights = lists.groupBy("id").agg(F.sum("c").alias("w"))
-    return lists.join(weights, "id").groupBy("key").agg(F.max(F.struct("w", "id"))["id"].alias("head"))
+    return lists.where("c > 2").join(weights, "id").groupBy("key").agg(F.max(F.struct("w", "id"))["id"].alias("head"))
 
 
 def shingle_blocks(texts: DataFrame, line: str, width: int) -> DataFrame:
@@ -88,17 +90,35 @@ def sketches(texts: DataFrame, width: int) -> DataFrame:
     return words.groupBy("id").agg(F.sum("n").alias("n"), *[F.coalesce(F.max(F.when(F.col("k") == w, F.col("w"))), F.lit(0)).alias(f"w{w}") for w in range(SKETCH)])
 
 
+def with_ends(pairs: DataFrame) -> DataFrame:
+    """pairs (ua, ub, ...) with p and q, how many units they surely have in common at the start and at the end: to within a 2**ENDS part of
+    the shorter one, and p + q at most its length."""
+    out = pairs.withColumn("p", F.lit(0)).withColumn("q", F.lit(0)).withColumn("m", F.expr("least(octet_length(ua), octet_length(ub)) div 2").cast("int"))
+    for end in ("p", "q"):
+        for k in range(1, ENDS + 1):
+            step = f"shiftright(m, {k})"
+            at = {"p": "2 * p + 1", "q": f"octet_length(u?) - 2 * (q + {step}) + 1"}[end]
+            parts = [f"substring(u{x}, {at.replace('?', x)}, 2 * {step})" for x in "ab"]
+            out = out.withColumn(end, F.expr(f"{end} + if({parts[0]} = {parts[1]}, {step}, 0)"))
+        out = out.withColumn("m", F.col("m") - F.col(end))
+    return out.drop("m")
+
+
 def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets have 100 * intersection >= percent * union; total is the sum of both sizes. Lines travel; their
-    shingles are hashed where they meet."""
+    shingles are hashed where they meet, unless so few lie between what both have in common at the ends that the pair is linked in any case."""
     side = lambda x: texts.select(F.col("line_id").alias(x), F.col("line").alias(f"l{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "total", units(F.col("la")).alias("ua"), units(F.col("lb")).alias("ub"))
-    both = both.repartition("a", "b")
-    cut = both.select("*", last_place(F.col("ua"), width).alias("za"), last_place(F.col("ub"), width).alias("zb"))
-    cut = cut.select("*", F.explode(F.sequence(F.lit(1), F.greatest("za", "zb"), F.lit(2 * BLOCK))).alias("i"))
+    cut = with_ends(both.repartition("a", "b"))
+    cut = cut.select("*", last_place(F.col("ua"), width).alias("za"), last_place(F.col("ub"), width).alias("zb"))
+    shared = sum((F.greatest(F.col(x) - (width - 1), F.lit(0)) for x in "pq"), F.lit(0))
+    between = F.expr("(za + 1) div 2 + (zb + 1) div 2") - 2 * shared
+    cut = cut.withColumn("sure", between * (100 + percent) <= F.col("total") * (100 - percent))
+    end = F.when(F.col("sure"), F.lit(1)).otherwise(F.greatest("za", "zb"))
+    cut = cut.select("*", F.explode(F.sequence(F.lit(1), end, F.lit(2 * BLOCK))).alias("i"))
     sides = [F.array(*block_of_shingles(F.col(f"u{x}"), F.col("i"), F.col(f"z{x}"), width)).alias(f"s{x}") for x in "ab"]
-    sets = cut.select("a", "b", "total", *sides).groupBy("a", "b", "total").agg(*[F.flatten(F.collect_list(f"s{x}")).alias(f"s{x}") for x in "ab"])
-    return sets.where(F.size(F.array_intersect("sa", "sb")) * (100 + percent) >= F.col("total") * percent).select("a", "b")
+    sets = cut.select("a", "b", "total", "sure", *sides).groupBy("a", "b", "total", "sure").agg(*[F.flatten(F.collect_list(f"s{x}")).alias(f"s{x}") for x in "ab"])
+    return sets.where(F.col("sure") | (F.size(F.array_intersect("sa", "sb")) * (100 + percent) >= F.col("total") * percent)).select("a", "b")
 
 
 def may_link(percent: int) -> Column:
@@ -115,13 +135,18 @@ def drawn_heads(lists: DataFrame, turn: int) -> DataFrame:
     return lists.withColumn("rank", rank).where(F.col("rank") <= HEADS).select("key", F.col("id").alias("head"), F.col("root").alias("head_root"))
 
 
+def pairs_of_lists(lists: DataFrame) -> int:
+    return lists.groupBy("key").agg(F.count(F.lit(1)).alias("c")).agg(F.coalesce(F.sum(F.expr("c * (c - 1) div 2")), F.lit(0))).first()[0]
+
+
 def line_components(lines: DataFrame, width: int = WIDTH, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(node, root) over line ids for lines that are near another, the texts compared, and the ids of lines that occur
     more than once. lines: line_id, check, line, an occurrence each.
 
-    Each line is first compared with the central head of each of its lists, then, in lists that still hold several components, with a few drawn
-    heads; so large groups become components in steps that grow with their size. What is open then is compared across components. Sketches
-    rule pairs out beforehand. So every pair of a list is verified, ruled out or in one component already.
+    Each line is first compared with the central head of each of its lists, then, while lists that still hold several components have many pairs and rounds
+    settle them, with a few drawn heads; so large groups become components in steps that grow with their size. What is open then is compared across components. Sketches
+    rule pairs out beforehand. So every pair of a list is verified, ruled out or in one component already. That holds for a list of two lines once
+    it is compared with its head, and for one of up to HEADS + 1 lines once it is compared with drawn heads; such lists are left out from then on.
     """
     signed = stash(signatures(lines, width), "signed")
     repeated = stash(signed.where("copies > 1").select(F.col("id").alias("line_id")), "repeated")
@@ -134,23 +159,27 @@ def line_components(lines: DataFrame, width: int = WIDTH, percent: int = 80) ->
     side = lambda x: sketch.select(*[F.col(c).alias(x if c == "id" else c + x) for c in sketch.columns])
     total = (F.col("na") + F.col("nb")).alias("total")
     union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
-    proven, tried, roots, open_ = [], [], None, None
+    proven, tried, roots, open_, settled = [], [], None, None, 2
+    few, left = FEW * lists.count(), float("inf")
     for turn in range(ROUNDS):
         if turn == 0:
             heads = stash(central_heads(lists), "heads")
-            met = lists.join(small(heads, 16), "key").where("id <> head")
+            two = lists.where("c = 2").groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("id"))
+            met = lists.join(small(heads, 16), "key").where("id <> head").select("head", "id").unionByName(two.select("head", "id"))
         else:
-            open_ = open_lists(lists.select("key", "id"), roots)
-            heads = stash(drawn_heads(open_, turn), "heads")
+            heads, settled = stash(drawn_heads(open_, turn), "heads"), HEADS + 1
             met = open_.join(small(heads, 24), "key").where("root <> head_root")
         met = met.select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b")).distinct()
         tried.append(stash(met.join(side("a"), "a").join(side("b"), "b").where(may_link(percent)).select("a", "b", total), "tried"))
         proven.append(stash(similar(tried[-1], texts, width, percent), "proven"))
-        unstash(heads)
-        if proven[-1].isEmpty():
+        linked = not proven[-1].isEmpty()
+        if linked:
+            roots = components(union(proven))
+        unstash(heads, *([open_] if open_ else []))
+        open_ = open_lists(lists.where(F.col("c") > settled).select("key", "id"), roots)
+        last, left = left, pairs_of_lists(open_) if linked and turn + 1 < ROUNDS else 0
+        if left <= few or left > last / 2:  # few are open, or the round has settled few
             break
-        roots = components(union(proven))
-    open_ = open_lists(lists.select("key", "id"), roots)
     unstash(counts, lists)
     if not open_.isEmpty():
         own = stash(open_.select("id").distinct(), "own")

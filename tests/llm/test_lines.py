@@ -4,8 +4,10 @@ import random
 
 import pytest
 
-from ambermill.llm import common
-from ambermill.llm.line_dedup import dedup_lines, drop_duplicate_lines, signatures
+from pyspark.sql import functions as F
+
+from ambermill.llm import common, line_dedup
+from ambermill.llm.line_dedup import dedup_lines, drop_duplicate_lines, signatures, similar, units, with_ends
 
 
 def components_of(spark, lines):
@@ -95,3 +97,61 @@ def test_long_lines_and_texts_of_many_lines(spark, monkeypatch, most):
     docs = spark.createDataFrame([(1, long), (2, long[:150_000] + "#" + long[150_000:]), (3, many), (4, many)], "doc_id long, text string")
     out = {r.doc_id: r.text for r in drop_duplicate_lines(docs).collect()}
     assert out == {1: long, 2: "", 3: many, 4: ""}
+
+
+def shingle_set(x):
+    return {x[i : i + 8] for i in range(max(1, len(x) - 7))}
+
+
+def edited_pairs(rng, n):
+    """Lines and copies with a few edits, many of them about the threshold; some lines repeat themselves, some have units beyond 16 bits."""
+    for i in range(n):
+        line = rng.choices("abcdefgh \u00e9\U0001f600" if i % 3 else "ab", k=rng.randrange(1, 240))
+        if i % 4 == 0:
+            line = line[:6] * 30
+        copy = list(line)
+        for _ in range(rng.randrange(0, 4)):
+            at = rng.randrange(len(copy) + 1)
+            copy[at : at + rng.choice((0, 1, 5))] = rng.choices("xyz", k=rng.choice((0, 1, 9)))
+        yield "".join(line), "".join(copy)
+
+
+def test_common_ends_prove_only_true_links(spark):
+    """Pairs taken as linked by their ends alone, and those that are hashed, are the linked ones; ends are common and don't overlap."""
+    pairs = list(edited_pairs(random.Random(5), 400))
+    sets = [[{u[i : i + 16] for i in range(0, max(1, len(u) - 15), 2)} for u in (x.encode("utf-16-be") for x in pair)] for pair in pairs]
+    texts = spark.createDataFrame([(2 * i + k, x) for i, pair in enumerate(pairs) for k, x in enumerate(pair)], "line_id long, line string")
+    met = spark.createDataFrame([(2 * i, 2 * i + 1, len(a) + len(b)) for i, (a, b) in enumerate(sets)], "a long, b long, total long")
+    linked = {2 * i for i, (a, b) in enumerate(sets) if 100 * len(a & b) >= 80 * len(a | b)}
+    assert {r.a for r in similar(met, texts, 8, 80).collect()} == linked and 50 < len(linked) < 350
+    rows = spark.createDataFrame([(i, *pair) for i, pair in enumerate(pairs)], "i long, la string, lb string")
+    found = 0
+    for r in with_ends(rows.select("i", units(F.col("la")).alias("ua"), units(F.col("lb")).alias("ub"))).collect():
+        a, b = map(bytes, (r.ua, r.ub))
+        assert a[: 2 * r.p] == b[: 2 * r.p] and a[len(a) - 2 * r.q :] == b[len(b) - 2 * r.q :] and 2 * (r.p + r.q) <= min(len(a), len(b))
+        found += r.p + r.q
+    assert found > 0.4 * sum(len(a) for a, _ in pairs)
+
+
+@pytest.mark.parametrize("few", [-1, 8])
+def test_lists_that_are_settled_are_left_out(spark, monkeypatch, few):
+    """A list of two is settled by its head, one of up to five by drawn heads; with or without rounds of these, each link of a list is found."""
+    rng, lines = random.Random(4), []
+    for copies in (1, 1, 1, 3, 4, 9) * 8:
+        source = rng.choices("abcdefghijklmnopqrstuvwxyz ", k=110)
+        lines.append("".join(source))
+        for _ in range(copies):
+            copy = list(source)
+            for at in rng.sample(range(110), rng.choice((1, 2, 3))):
+                copy[at] = "#"
+            lines.append("".join(copy))
+    lines = sorted({x.strip() for x in lines})
+    seen, real = [], line_dedup.open_lists
+    monkeypatch.setattr(line_dedup, "open_lists", lambda lists, roots: (seen.append(min([r["count"] for r in lists.groupBy("key").count().collect()], default=99)), real(lists, roots))[1])
+    monkeypatch.setattr(line_dedup, "FEW", few, raising=False)
+    of = components_of(spark, lines)
+    assert seen[0] > 2 and all(n > 5 for n in seen[1:]) and len(seen) == (1 if few > 0 else len(seen))
+    keys = {r.id: set(r["keys"]) for r in signatures(spark.createDataFrame(list(enumerate(lines)), "line_id long, line string"), 8).collect()}
+    sets = [shingle_set(x) for x in lines]
+    links = [(i, j) for i in range(len(lines)) for j in range(i) if keys[i] & keys[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    assert len(links) > 20 and all(of[lines[i]] == of[lines[j]] for i, j in links)
