@@ -25,6 +25,7 @@ WIDTH = 8
 MINIMA, BAND = 13, (0, 1, 3, 9)  # every difference of two minima occurs once modulo 13, which makes the shifted bands a projective plane
 BLOCK = 16
 SKETCH = 16  # longs
+SIDE_BYTES = 8 * (SKETCH + MINIMA + 6)  # of a row of cross_pairs() at most
 ENDS = 8  # halvings
 ROUNDS, HEADS = 3, 4
 FEW = 8  # pairs a row of all lists; open lists of no more than that are compared without a further round of heads
@@ -139,6 +140,21 @@ def pairs_of_lists(lists: DataFrame) -> int:
     return lists.groupBy("key").agg(F.count(F.lit(1)).alias("c")).agg(F.coalesce(F.sum(F.expr("c * (c - 1) div 2")), F.lit(0))).first()[0]
 
 
+def cross_pairs(sides: DataFrame, percent: int) -> DataFrame:
+    """a, b, na, nb: the lines of open lists that are of different components and may be linked, each pair in the first list it shares.
+
+    A shuffle would bring a long list into one partition, which Spark then splits on both sides: tasks by the square of the list's bytes, thousands
+    of them, whose statuses and metrics all meet on the driver. So where they are small, one side is dealt out line by line
+    and the other is broadcast.
+    """
+    half = lambda x: sides.select(*[F.col(c).alias(x if c == "id" else c + x) for c in sides.columns])
+    left, right = half("a"), half("b")
+    if (whole := small(right, SIDE_BYTES)) is not right:
+        left, right = left.repartition("a", "keya"), whole
+    apart = (F.col("keya") == F.col("keyb")) & (F.col("roota") != F.col("rootb")) & (F.col("a") < F.col("b"))
+    return left.join(right, apart & may_link(percent) & ~F.arrays_overlap("earliera", "earlierb")).select("a", "b", "na", "nb")
+
+
 def line_components(lines: DataFrame, width: int = WIDTH, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(node, root) over line ids for lines that are near another, the texts compared, and the ids of lines that occur
     more than once. lines: line_id, check, line, an occurrence each.
@@ -188,10 +204,7 @@ def line_components(lines: DataFrame, width: int = WIDTH, percent: int = 80) ->
         # a band's key tells the band, so a pair is made in the first of its lists only: where no earlier key is shared
         earlier = F.slice("keys", F.lit(1), F.array_position("keys", F.col("key")).cast("int") - 1)
         sides = stash(sides.withColumn("earlier", earlier).drop("keys"), "sides")
-        half = lambda x: sides.select(*[F.col(c).alias(x if c == "id" else c + x) for c in sides.columns])
-        apart = (F.col("keya") == F.col("keyb")) & (F.col("roota") != F.col("rootb")) & (F.col("a") < F.col("b"))
-        met = half("a").join(half("b"), apart & may_link(percent) & ~F.arrays_overlap("earliera", "earlierb"))
-        pairs = stash(met.select("a", "b", total).join(union(tried).select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        pairs = stash(cross_pairs(sides, percent).select("a", "b", total).join(union(tried).select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             roots = components(union([*proven, similar(pairs, texts, width, percent)]))
         unstash(own, sides, pairs)

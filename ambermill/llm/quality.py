@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ambermill.llm.common import chunks, column, unstash
 from ambermill.llm.hashing import SHAPES, splitmix, text_batches, word_hashes
-from ambermill.llm.sampling import labelled_sample, sample_features
+from ambermill.llm.sampling import fit_sample, labelled_sample
 
 BITS = 20
 MOST_ROWS = 12_000
@@ -97,11 +97,11 @@ class SparseScorer:
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = None, most_rows: int = MOST_ROWS, label: str = "quality", text: str = "text", doc_id: str = "doc_id") -> SparseScorer:
-    """Fit on at most most_rows labelled documents; the text is the only input. Hashing is done on the executors, the steps on the driver."""
+    """Fit on at most most_rows labelled documents; the text is the only input. Hashing is done on the executors, and the steps in one task."""
     sample = labelled_sample(docs, labels, label, F.lit(True) if usable is None else usable, most_rows, text, doc_id)
-    rows, y = sample_features(sample, batch_features)
+    model = fit_sample(sample, batch_features, lambda rows, y: FtrlLogistic().fit(rows, y.tolist()).frozen())
     unstash(sample)
-    return FtrlLogistic().fit(rows, y.tolist()).frozen()
+    return model
 
 
 def score_quality(docs: DataFrame, model: SparseScorer, text: str = "text", score: str = "score") -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
     return stash(texts.join(F.broadcast(ids), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text")), "sample")
 
 
-def sample_features(sample: DataFrame, features: Callable[[list[str]], list[np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
-    """(features of each document as 32-bit integers, labels), by rising id. Texts are read on the executors; only features reach the driver."""
+def fit_sample(sample: DataFrame, features: Callable[[list[str]], list[np.ndarray]], fit: Callable[[list[np.ndarray], np.ndarray], Any]) -> Any:
+    """fit(features of each document as 32-bit integers, labels), by rising id. One task gets the features of the bounded sample and fits; of
+    all that only the model reaches the driver, so that its memory doesn't hold the features beside Spark's own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "_text", 1 << 19):
@@ -40,6 +43,13 @@ def sample_features(sample: DataFrame, features: Callable[[list[str]], list[np.n
             lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found) if found else np.empty(0, np.int32), pa.int32()))
             yield pa.RecordBatch.from_arrays([column(part, "_id"), column(part, "_label"), lists], names=["_id", "_label", "f"])
 
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if held := [b for b in batches if b.num_rows]:
+            got = pa.Table.from_batches(held).sort_by("_id")
+            model = fit([x.values.to_numpy() for x in got.column("f")], got.column("_label").to_numpy().astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
     kind = sample.schema["_id"].dataType.simpleString()
-    got = sample.mapInArrow(run, f"_id {kind}, _label int, f array<int>").toArrow().sort_by("_id")
-    return [x.values.to_numpy() for x in got.column("f")], got.column("_label").to_numpy().astype(np.int64)
+    made = sample.mapInArrow(run, f"_id {kind}, _label int, f array<int>")
+    rows = made.repartition(1).mapInArrow(learn, "model binary").collect()
+    return pickle.loads(rows[0]["model"]) if rows else fit([], np.empty(0, np.int64))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ambermill.llm.common import chunks, column, unstash
-from ambermill.llm.sampling import labelled_sample, sample_features
+from ambermill.llm.sampling import fit_sample, labelled_sample
 
 BITS = 18
 GRAMS = (4, 5)
@@ -164,7 +164,7 @@ def feature_counts(sample: DataFrame, bits: int = BITS) -> DataFrame:
 def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = None, most_rows: int = MOST_ROWS, label: str = "toxic", text: str = "text", doc_id: str = "doc_id") -> NbLinear:
     """Fit on at most most_rows labelled documents; the text is the only input.
 
-    Features are made and counted on the executors. The driver gets 2**BITS counts and, of each document, the features that have a ratio.
+    Features are made and counted on the executors, and one task fits on those that have a ratio. The driver gets 2**BITS counts and the model.
     """
     sample = labelled_sample(docs, labels, label, F.lit(True) if usable is None else usable, most_rows, text, doc_id)
     counts = feature_counts(sample).toArrow()
@@ -174,9 +174,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
     size = sample.agg(F.sum("_label").alias("toxic"), F.count(F.lit(1)).alias("rows")).first()
     ratio = log_count_ratio(pos, all_, size["toxic"] or 0, size["rows"])
     wanted = ratio != 0
-    rows, y = sample_features(sample, lambda texts: text_features(texts, BITS, wanted))
+    model = fit_sample(sample, lambda texts: text_features(texts, BITS, wanted), lambda rows, y: fit_scaled(rows, y, ratio))
     unstash(sample)
-    return fit_scaled(rows, y, ratio)
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: NbLinear, text: str = "text", score: str = "score") -> DataFrame:

@@ -155,3 +155,33 @@ def test_lists_that_are_settled_are_left_out(spark, monkeypatch, few):
     sets = [shingle_set(x) for x in lines]
     links = [(i, j) for i in range(len(lines)) for j in range(i) if keys[i] & keys[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
     assert len(links) > 20 and all(of[lines[i]] == of[lines[j]] for i, j in links)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_a_long_open_list_takes_few_tasks(spark, monkeypatch, tmp_path, small):
+    """Where the sides are small, no partition is split on both sides into tasks by the square of its bytes; the pairs are those of the shuffle."""
+    if not small:
+        monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    rng, rows = random.Random(9), []
+    for i in range(3_000):
+        words = [rng.getrandbits(63) for _ in range(line_dedup.SKETCH)] if i % 100 else [1] * line_dedup.SKETCH  # 30 that may be linked with each other
+        rows.append((i, 1 if i < 2_900 else i % 7, i // 2, 20, *words, [77] if i in (0, 100) else []))
+    kind = "id long, key long, root long, n long, " + "".join(f"w{k} long, " for k in range(line_dedup.SKETCH)) + "earlier array<long>"
+    spark.createDataFrame(rows, kind).repartition(30).write.parquet(str(tmp_path / "sides"))
+    tight = {"adaptive.coalescePartitions.enabled": "false", "adaptive.advisoryPartitionSizeInBytes": "16k", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "adaptive.skewJoin.skewedPartitionFactor": "1.5", "autoBroadcastJoinThreshold": "-1"}
+    for k, v in tight.items():
+        spark.conf.set(f"spark.sql.{k}", v)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    sc, group = spark.sparkContext, f"few-{small}"
+    try:
+        sc.setJobGroup(group, group)
+        got = [(r.a, r.b) for r in line_dedup.cross_pairs(spark.read.parquet(str(tmp_path / "sides")), 80).collect()]
+        jobs = map(sc.statusTracker().getJobInfo, sc.statusTracker().getJobIdsForGroup(group))
+        most = max(info.numTasks for j in jobs for s in j.stageIds if (info := sc.statusTracker().getStageInfo(s)))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k in ("files.maxPartitionBytes", *tight):
+            spark.conf.unset(f"spark.sql.{k}")
+    first = range(0, 2_900, 100)
+    assert sorted(got) == [(i, j) for i in first for j in first if i < j and (i, j) != (0, 100)]
+    assert most <= 40 if small else most > 100, most

@@ -192,3 +192,19 @@ def test_slot_maps(spark, sf, tmp_path):
 
 def test_empty_model_scores_half():
     assert NbLinear(np.zeros(1 << BITS, np.float32), 0.0).scores(["x", ""]).tolist() == [0.5, 0.5]
+
+
+def test_features_of_the_sample_stay_off_the_driver(spark, monkeypatch):
+    """Beside Spark's own memory the driver gets counts and the model, but no lists of features of documents; the model is that of a fit in one process."""
+    texts = [f"{'good fine' if i % 2 else 'bad awful'} text number {i} of some words" for i in range(60)]
+    y = [i % 2 for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, v, v) for i, v in enumerate(y)], "doc_id long, toxic int, quality int")
+    kind, seen = type(docs), []
+    real = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda self: (seen.append(self.schema.simpleString()), real(self))[1])
+    toxic, good = train_toxicity(docs, labels), train_quality(docs, labels)
+    assert not any("array" in s for s in seen)
+    held, plain = fit_nb_linear(texts, y), FtrlLogistic().fit([f.astype(np.int32) for f in batch_features(texts)], y).frozen()
+    assert np.array_equal(toxic.weight, held.weight) and toxic.bias == held.bias
+    assert np.array_equal(good.weight, plain.weight) and good.bias == plain.bias
