@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ambermill.llm.common import chunks, column
 from ambermill.llm.presplit import PieceCache, all_pieces
-from ambermill.llm.vocabulary import DEFAULT, tokenizer_path
+from ambermill.llm.vocabulary import DEFAULT, byte_letters, tokenizer_path
 
 LENGTH = 1024
 GROUP_DOCUMENTS = 4096
@@ -64,17 +64,18 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 @lru_cache(maxsize=2)
 def _cache(name_or_path: str) -> PieceCache:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    """Ids of pieces, by the library's model alone: the pieces are split already, so its encodings, with their offsets and masks, would be made for nothing."""
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path(name_or_path))
-    t.no_padding()
-    t.no_truncation()
+    model, letters = t.model, str.maketrans({chr(b): c for c, b in byte_letters().items()})
+    special = {token.content: i for i, token in t.get_added_tokens_decoder().items()}
 
-    def make(pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch(pieces, add_special_tokens=False)]
+    def ids(piece: str) -> bytes:
+        found = [special[piece]] if piece in special else [x.id for x in model.tokenize(piece.encode().decode("latin-1").translate(letters))]
+        return struct.pack(f"<{len(found)}I", *found)
 
-    return PieceCache(make)
+    return PieceCache(lambda pieces: [ids(p) for p in pieces])
 
 
 PIECE = T.StructType(
@@ -94,7 +95,7 @@ def document_pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         cache, end, step = _cache(tokenizer), np.array([end_id], "<u4").tobytes(), 4 * length
         for part, texts in chunks(batches, "_text"):
             split = [all_pieces(t) for t in texts]
-            known = cache.fill(p for words in split for p in words)
+            known = cache.fill(set().union(*split))
             row, start, size, crc, total = [], [], [], [], []
             for i, words in enumerate(split):
                 ids = b"".join([known[w] for w in words]) + end
