@@ -17,6 +17,7 @@ from ambermill.session import checkpoint_root
 CHUNK_BYTES = 2 << 20
 _HELD: ContextVar[list[str] | None] = ContextVar("stored by a scratch block", default=None)
 BROADCAST_BYTES = 24 << 20
+TWO_LEVELS = "spark.sql.codegen.aggregate.map.twolevel.enabled"
 
 
 def stash(df: DataFrame, name: str = "t") -> DataFrame:
@@ -42,6 +43,21 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         _HELD.reset(mark)
 
 
+@contextmanager
+def one_level_maps(spark: SparkSession) -> Iterator[None]:
+    """Aggregate without the map of 65,536 groups that Spark puts before its hash table, for what runs inside. With nearly as many groups as rows
+    it is soon full, and then each row looks in both. A setting of the session's own stays."""
+    if spark.conf.get(TWO_LEVELS, None) not in (None, "true"):
+        yield
+        return
+    had = TWO_LEVELS in {r.key for r in spark.sql("SET").collect()}
+    spark.conf.set(TWO_LEVELS, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(TWO_LEVELS, "true") if had else spark.conf.unset(TWO_LEVELS)
+
+
 def unstash(*stored: DataFrame) -> None:
     """Delete what stash() wrote, once nothing that is still to run reads it."""
     for df in stored:
@@ -79,10 +95,10 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 def _stars(e: DataFrame) -> bool:
-    """Whether (u, v) edges are stars: one v for each u, and no v is a u."""
-    per = e.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    deep = e.select(F.col("v").alias("u")).join(e.select("u"), "u", "left_semi")
-    return per.isEmpty() and deep.isEmpty()
+    """Whether (u, v) edges are stars: one v for each u, and no v is a u. One aggregate by node, which a hub's edges reach summed up."""
+    ends = F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up"))))
+    per = e.select(ends.alias("end")).select("end.*").groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return per.where("ups > 1 or (ups = 1 and least = 0)").isEmpty()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ambermill.functions.columns import fresh_names
-from ambermill.llm.common import components, open_lists, small, stash, unstash
+from ambermill.llm.common import components, one_level_maps, open_lists, small, stash, unstash
 
 WIDTH = 8
 MINIMA, BAND = 13, (0, 1, 3, 9)  # every difference of two minima occurs once modulo 13, which makes the shifted bands a projective plane
@@ -27,12 +27,15 @@ BLOCK = 16
 SKETCH = 16  # longs
 SIDE_BYTES = 8 * (SKETCH + MINIMA + 6)  # of a row of cross_pairs() at most
 ENDS = 8  # halvings
+BLANK = " \t\r\x0b\x0c"
 ROUNDS, HEADS = 3, 4
 FEW = 8  # pairs a row of all lists; open lists of no more than that are compared without a further round of heads
 
 
 def normal(line: Column) -> Column:
-    return F.lower(F.trim(line, F.lit(" \t\r\x0b\x0c")))
+    """Trimmed and lower-cased. Trimming by a set of characters lists the places of all characters, so only lines that need it are trimmed."""
+    blank = functools.reduce(Column.__or__, [end(line, F.lit(c)) for c in BLANK for end in (F.startswith, F.endswith)])
+    return F.lower(F.when(blank, F.trim(line, F.lit(BLANK))).otherwise(line))
 
 
 def units(line: Column) -> Column:
@@ -53,7 +56,9 @@ def block_of_shingles(line_units: Column, at: Column, last: Column, width: int,
 def occurrences(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """doc_id, text_hash, line_no, line (normalised, may be blank), line_id and check: two independent hashes of the line."""
     body = F.col(f"`{text}`")
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("text_hash"), F.posexplode(F.split(body, "\n")).alias("line_no", "_line"))
+    # hashed in a step of its own: beside posexplode the whole text would be hashed again for each of its lines
+    hashed = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("_text"))
+    rows = hashed.select("doc_id", "text_hash", F.posexplode(F.split("_text", "\n")).alias("line_no", "_line"))
     rows = rows.select("doc_id", "text_hash", "line_no", normal(F.col("_line")).alias("line"))
     return rows.select("*", F.xxhash64("line").alias("line_id"), F.xxhash64(F.lit(1), F.col("line")).alias("check"))
 
@@ -222,6 +227,11 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
     text count as one document, whose lines stay or go together; rows of one id with different texts (or of NULL ids) are different
     documents. Lines are told apart by two 64-bit hashes; line_id and component show one. An empty table gives an empty one; further columns play no part.
     """
+    with one_level_maps(docs.sparkSession):
+        return _dedup_lines(docs, text, doc_id, width, percent)
+
+
+def _dedup_lines(docs: DataFrame, text: str, doc_id: str, width: int, percent: int) -> DataFrame:
     lines = stash(occurrences(docs, text, doc_id), "lines").where("line <> ''")
     roots, texts, repeated = line_components(lines, width, percent)
     checks = texts.select("line_id", "check")

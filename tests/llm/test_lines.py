@@ -185,3 +185,46 @@ def test_a_long_open_list_takes_few_tasks(spark, monkeypatch, tmp_path, small):
     first = range(0, 2_900, 100)
     assert sorted(got) == [(i, j) for i in first for j in first if i < j and (i, j) != (0, 100)]
     assert most <= 40 if small else most > 100, most
+
+
+def test_a_text_is_hashed_once_not_once_a_line(spark):
+    docs = spark.createDataFrame([(1, "one line\nand another\n\n"), (2, None), (3, "")], "doc_id long, text string")
+    got = line_dedup.occurrences(docs, "text", "doc_id")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("xxhash64(text")  # what comes first is done last
+    want = docs.select("doc_id", F.xxhash64("text").alias("h")).where("doc_id <> 2")
+    assert {(r.doc_id, r.text_hash) for r in got.collect()} == {(r.doc_id, r.h) for r in want.collect()}
+    assert sorted((r.doc_id, r.line_no, r.line) for r in got.collect()) == [(1, 0, "one line"), (1, 1, "and another"), (1, 2, ""), (1, 3, ""), (3, 0, "")]
+
+
+def test_lines_are_trimmed_of_blanks_alone(spark):
+    rng = random.Random(6)
+    lines = ["", " ", "\t\r\x0b\x0c ", "A", " A", "A\t", "\x0bA b\x0c", " A ", " É ", "\x00 A"] + ["".join(rng.choices(" \t\r\x0b\x0cAé", k=6)) for _ in range(300)]
+    got = spark.createDataFrame([(x,) for x in lines], "x string").select("x", line_dedup.normal(F.col("x")).alias("n")).collect()
+    assert all(r.n == r.x.strip(" \t\r\x0b\x0c").lower() for r in got)
+
+
+def test_groups_are_found_without_a_first_map(spark, monkeypatch):
+    """While lines are compared Spark's map before the hash table is off; afterwards, and where the session sets it itself, nothing has changed."""
+    key, seen, real = common.TWO_LEVELS, [], line_dedup.stash
+    monkeypatch.setattr(line_dedup, "stash", lambda df, name="t": (seen.append(spark.conf.get(key)), real(df, name))[1])
+    docs = spark.createDataFrame([(1, "a line of many words here"), (2, "a line of many words here")], "doc_id long, text string")
+    assert dedup_lines(docs).where("kept").count() == 1
+    assert set(seen) == {"false"} and key not in {r.key for r in spark.sql("SET").collect()}
+    spark.conf.set(key, "true")
+    try:
+        dedup_lines(docs)
+        assert spark.conf.get(key) == "true"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_stars_are_told_by_one_aggregate(spark):
+    stars, deep, forked = [(2, 1), (3, 1), (9, 4)], [(2, 1), (3, 2)], [(3, 1), (3, 2)]
+    for edges, want in (([], True), (stars, True), (deep, False), (forked, False), (stars + [(4, 1)], False)):
+        e = common.stash(spark.createDataFrame(edges, "u long, v long"), "edges")
+        spark.sparkContext.setJobGroup(f"stars-{edges}", "stars")
+        assert common._stars(e) == want, edges
+        stages = {i for j in spark.sparkContext.statusTracker().getJobIdsForGroup(f"stars-{edges}") for i in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
+        assert len(stages) <= 3, (edges, stages)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
