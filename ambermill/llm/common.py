@@ -20,10 +20,10 @@ BROADCAST_BYTES = 24 << 20
 TWO_LEVELS = "spark.sql.codegen.aggregate.map.twolevel.enabled"
 
 
-def stash(df: DataFrame, name: str = "t") -> DataFrame:
+def stash(df: DataFrame, name: str = "t", **options: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors, and gives the planner real sizes."""
     path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/ambermill/{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "snappy").parquet(path)
+    df.write.options(compression="snappy", **options).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stashed_at = path
     if (held := _HELD.get()) is not None:
@@ -31,6 +31,11 @@ def stash(df: DataFrame, name: str = "t") -> DataFrame:
     return out
 
 
+def stash_plain(df: DataFrame, name: str = "t") -> DataFrame:
+    """stash() without Parquet's dictionaries: to look up each value in one is in vain for hashes and texts."""
+    return stash(df, name, **{"parquet.enable.dictionary": "false"})
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete at the end whatever was stored inside and is still there. Results must be written by then."""

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ambermill.functions.columns import fresh_names
-from ambermill.llm.common import components, one_level_maps, open_lists, small, stash, unstash
+from ambermill.llm.common import components, one_level_maps, open_lists, small, stash, stash_plain, unstash
 
 WIDTH = 8
 MINIMA, BAND = 13, (0, 1, 3, 9)  # every difference of two minima occurs once modulo 13, which makes the shifted bands a projective plane
@@ -169,14 +169,14 @@ def line_components(lines: DataFrame, width: int = WIDTH, percent: int = 80) ->
     rule pairs out beforehand. So every pair of a list is verified, ruled out or in one component already. That holds for a list of two lines once
     it is compared with its head, and for one of up to HEADS + 1 lines once it is compared with drawn heads; such lists are left out from then on.
     """
-    signed = stash(signatures(lines, width), "signed")
+    signed = stash_plain(signatures(lines, width), "signed")
     repeated = stash(signed.where("copies > 1").select(F.col("id").alias("line_id")), "repeated")
     keyed = signed.select("id", F.explode("keys").alias("key"))
     counts = stash(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "counts")
     lists = stash(keyed.join(small(counts, 16), "key"), "lists")
     ids = stash(lists.select(F.col("id").alias("line_id")).distinct(), "ids")
     texts = stash(lines.select("line_id", "check", "line").join(small(ids, 8), "line_id", "left_semi").dropDuplicates(["line_id"]), "texts")
-    sketch = stash(sketches(texts, width), "sketch")
+    sketch = stash_plain(sketches(texts, width), "sketch")
     side = lambda x: sketch.select(*[F.col(c).alias(x if c == "id" else c + x) for c in sketch.columns])
     total = (F.col("na") + F.col("nb")).alias("total")
     union = lambda tables: functools.reduce(DataFrame.unionByName, tables)
@@ -232,7 +232,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
 
 
 def _dedup_lines(docs: DataFrame, text: str, doc_id: str, width: int, percent: int) -> DataFrame:
-    lines = stash(occurrences(docs, text, doc_id), "lines").where("line <> ''")
+    lines = stash_plain(occurrences(docs, text, doc_id), "lines").where("line <> ''")
     roots, texts, repeated = line_components(lines, width, percent)
     checks = texts.select("line_id", "check")
     near = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -1,7 +1,9 @@
 """Links of lines that are short or repeat themselves."""
 
+import os
 import random
 
+import pyarrow.dataset as ds
 import pytest
 
 from pyspark.sql import functions as F
@@ -228,3 +230,23 @@ def test_stars_are_told_by_one_aggregate(spark):
         stages = {i for j in spark.sparkContext.statusTracker().getJobIdsForGroup(f"stars-{edges}") for i in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
         assert len(stages) <= 3, (edges, stages)
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_hashes_and_texts_are_stored_without_dictionaries(spark, monkeypatch):
+    found, real = {}, common.delete_folder
+
+    def seen(session, path):
+        at = path.removeprefix("file://")
+        for file in ds.dataset(at, format="parquet", partitioning=None).get_fragments() if os.path.isdir(at) else []:
+            groups = [g for g in (file.metadata.row_group(i) for i in range(file.metadata.num_row_groups)) if g.num_rows]
+            columns = [c for g in groups for c in map(g.column, range(g.num_columns))]
+            found.setdefault(file.path.split("/")[-2], set()).update(x for c in columns for x in c.encodings)
+        real(session, path)
+
+    monkeypatch.setattr(common, "delete_folder", seen)
+    docs = spark.createDataFrame([(i, f"a line of many words here\nand a line {i % 7} of other words") for i in range(50)], "doc_id long, text string")
+    with common.scratch(spark):
+        kept = {(r.doc_id, r.line_no) for r in dedup_lines(docs).where("kept").collect()}
+    assert kept == {(0, 0), *((i, 1) for i in range(7))}
+    dictionary = {"PLAIN_DICTIONARY", "RLE_DICTIONARY"}
+    assert {"lines", "signed", "sketch"} <= {*found} and all(not found[t] & dictionary for t in ("lines", "signed", "sketch")), found
